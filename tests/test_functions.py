@@ -1,0 +1,130 @@
+"""Encoders, one-hot, imputation and scaling on hand-written rows (every branch)."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from percepta import defaults as D
+from percepta.functions import (
+    encode,
+    encode_values,
+    guard_null,
+    impute,
+    min_max_scale,
+    one_hot,
+    register_functions,
+    scale_value_literal,
+    standardize,
+)
+from percepta.spec import FIXTURE, PORT, PORT_NULL_DEFAULT, SEX
+
+ROWS_SCHEMA = "id int, grp string, site string, tier int, tenure double, amount double"
+ROWS = [
+    (1, "male", "S", 1, None, None),
+    (2, "female", "C", 2, 0.92, 0.0),
+    (3, "Male", "Q", 3, 22.0, 7.25),
+    (4, None, "X", 9, 80.0, 512.3292),
+    (5, "male", None, 1, 22.0, 7.25),
+]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return spark.createDataFrame(ROWS, ROWS_SCHEMA)
+
+
+def by_id(df, col):
+    return {r["id"]: r[col] for r in df.collect()}
+
+
+def test_sex_codes_case_sensitive_and_null_kept(rows):
+    out = by_id(rows.select("id", encode("grp", SEX).alias("c")), "c")
+    # 'male' -> 0, anything else (including 'Male') -> 1, NULL stays NULL
+    assert out == {1: 0, 2: 1, 3: 1, 4: None, 5: 0}
+
+
+def test_port_codes_null_kept_and_default(rows):
+    kept = by_id(rows.select("id", encode("site", PORT).alias("c")), "c")
+    assert kept == {1: 0, 2: 1, 3: 2, 4: 2, 5: None}
+    dflt = by_id(rows.select("id", encode("site", PORT_NULL_DEFAULT).alias("c")), "c")
+    assert dflt == {1: 0, 2: 1, 3: 2, 4: 2, 5: 0}
+
+
+def test_encode_values_generic(rows):
+    out = by_id(rows.select("id", encode_values("site", [("Q", 7)], other=-1, null_as=99).alias("c")), "c")
+    assert out == {1: -1, 2: -1, 3: 7, 4: -1, 5: 99}
+
+
+def test_one_hot_tier_other_slot(rows):
+    cols = one_hot("tier", D.CLASS_LEVELS)
+    out = {r["id"]: tuple(r[1:]) for r in rows.select("id", *cols).collect()}
+    assert out[1] == (1.0, 0.0, 0.0)
+    assert out[2] == (0.0, 1.0, 0.0)
+    assert out[3] == (0.0, 0.0, 1.0)
+    assert out[4] == (0.0, 0.0, 1.0)  # 9 is "other"
+
+
+def test_one_hot_null_goes_to_other(spark):
+    df = spark.createDataFrame([(None,), (0,)], "c int")
+    out = [tuple(r) for r in df.select(*one_hot("c", (0,))).collect()]
+    assert sorted(out) == [(0.0, 1.0), (1.0, 0.0)]
+
+
+def test_guard_null_modes(rows, spark):
+    code = encode("site", PORT)
+    zero = by_id(rows.select("id", guard_null(code, 0, "site").alias("c")), "c")
+    assert zero[5] == 0
+    other = by_id(rows.select("id", guard_null(code, "other", "site").alias("c")), "c")
+    assert other[5] is None
+    with pytest.raises(Exception, match="NULL in categorical column grp"):
+        rows.select(guard_null(encode("grp", SEX), "error", "grp")).collect()
+
+
+def test_impute_and_standardize(rows):
+    out = rows.select(
+        "id",
+        impute("tenure", 30.0).alias("t"),
+        standardize(impute("amount", 10.0), 10.0, 2.0).alias("z"),
+        standardize(F.lit(5.0), 5.0, 0.0).alias("z0"),
+    ).collect()
+    got = {r["id"]: (r["t"], r["z"], r["z0"]) for r in out}
+    assert got[1] == (30.0, 0.0, 0.0)  # imputed value standardizes to 0
+    assert got[2][0] == 0.92
+    assert got[4][1] == pytest.approx((512.3292 - 10.0) / 2.0)
+    assert all(v[2] == 0.0 for v in got.values())  # std 0 -> 0
+
+
+def test_min_max_and_literal_formula(rows):
+    out = by_id(rows.select("id", min_max_scale("amount", 0.0, 512.3292).alias("s")), "s")
+    assert out[2] == 0.0 and out[4] == 1.0 and out[1] is None
+    lit = by_id(rows.select("id", scale_value_literal("amount", 2.0, 4.0).alias("s")), "s")
+    # (x - min) / max - min, as the original helper computes it
+    assert lit[3] == pytest.approx((7.25 - 2.0) / 4.0 - 2.0)
+    const = by_id(rows.select("id", min_max_scale("amount", 3.0, 3.0).alias("s")), "s")
+    assert set(const.values()) == {None}
+
+
+def test_sql_functions_by_name(rows, spark):
+    names = register_functions(spark, FIXTURE, {"amount": 32.2, "tenure": 30.0})
+    assert names == {
+        "grp": "encode_grp",
+        "site": "encode_site",
+        "amount": "fill_amount",
+        "tenure": "fill_tenure",
+    }
+    out = rows.select(
+        "id",
+        F.call_function("encode_grp", F.col("grp")).alias("g"),
+        F.call_function("encode_site", F.col("site")).alias("s"),
+        F.call_function("fill_amount", F.col("amount")).alias("a"),
+    ).collect()
+    got = {r["id"]: (r["g"], r["s"], r["a"]) for r in out}
+    assert got[1] == (0, 0, 32.2)
+    assert got[3] == (1, 2, 7.25)
+    assert got[4] == (None, 2, 512.3292)
+    assert got[5] == (0, None, 7.25)
+    # the same functions from SQL text
+    rows.createOrReplaceTempView("tiny_rows")
+    n = spark.sql("SELECT count(*) AS n FROM tiny_rows WHERE encode_grp(grp) = 1").first()["n"]
+    assert n == 2

@@ -1,0 +1,102 @@
+"""End-to-end jobs on a passenger-shaped CSV made from the fixture."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from percepta import defaults as D
+from percepta.operators import model
+from percepta.plans import jobs
+from percepta.plans.catalog import TO_PASSENGER_NAMES
+from percepta.sources.csv import read_csv, write_csv
+from percepta.spec import PASSENGER_SCHEMA
+
+
+@pytest.fixture(scope="module")
+def passenger_csvs(spark):
+    """Training file (with label) and scoring file (without), Titanic column names."""
+    import tempfile
+
+    from percepta.sources.fixture import passengers
+
+    base = tempfile.mkdtemp(prefix="percepta-jobs-")
+    p = passengers(spark, "/root/testdata/sf0.001")
+    renamed = p.select(*[F.col(c).alias(TO_PASSENGER_NAMES[c]) for c in p.columns]).withColumns(
+        {
+            "PassengerId": F.col("PassengerId").cast("int"),
+            "Name": F.concat(F.lit("Name, Mr. "), F.col("PassengerId").cast("string")),
+            "Ticket": F.lit("T1"),
+            "Cabin": F.lit(None).cast("string"),
+        }
+    )
+    train = renamed.select(*[f.name for f in PASSENGER_SCHEMA.fields])
+    write_csv(train.where(F.col("PassengerId") < 1200), f"{base}/train", files=1)
+    write_csv(train.where(F.col("PassengerId") >= 1200).drop("Survived"), f"{base}/score", files=1)
+    return base
+
+
+def test_survival_job(spark, passenger_csvs):
+    out = f"{passenger_csvs}/result"
+    res = jobs.survival(
+        spark,
+        f"{passenger_csvs}/train",
+        f"{passenger_csvs}/score",
+        out,
+        classifier=model.mlp(max_iter=60),
+    )
+    rep = res.report.first()
+    assert rep["accuracy"] > 0.85
+    text = open(glob.glob(f"{out}/part-*.csv")[0]).read().splitlines()
+    assert text[0] == "PassengerId,prediction"
+    scored = read_csv(spark, out, schema="PassengerId double, prediction double")
+    assert scored.count() == 300
+    assert scored.agg(F.min("PassengerId")).first()[0] == 1200.0
+    with pytest.raises(Exception):  # default mode: the second run must not overwrite
+        jobs.survival(spark, f"{passenger_csvs}/train", f"{passenger_csvs}/score", out,
+                      classifier=model.mlp(max_iter=5))
+
+
+def test_survival_job_inferred_and_fit_on_train(spark, passenger_csvs):
+    res = jobs.survival(
+        spark,
+        f"{passenger_csvs}/train",
+        None,
+        None,
+        classifier=model.mlp(max_iter=30),
+        fit_on="train",
+        infer_schema=True,
+    )
+    assert res.output is None
+    assert res.report.first()["accuracy"] > 0.8
+
+
+def test_survival_cv_job(spark, passenger_csvs):
+    clf = model.mlp(layers=D.CV_LAYERS)
+    grid = model.param_grid(clf, block_sizes=[32], max_iters=[10, 30], tols=[1e-4])
+    res = jobs.survival_cv(
+        spark, f"{passenger_csvs}/train", f"{passenger_csvs}/score", f"{passenger_csvs}/cv-result",
+        folds=3, grid=grid, parallelism=2,
+    )
+    assert res.summary.count() == 2
+    assert read_csv(spark, res.output, schema="PassengerId double, prediction double").count() == 300
+
+
+def test_constant_fill_export_job(spark, passenger_csvs):
+    raw = read_csv(spark, f"{passenger_csvs}/train", schema=PASSENGER_SCHEMA)
+    out = f"{passenger_csvs}/export"
+    train_dir, test_dir = jobs.constant_fill_export(raw, out, seed=3, files=1)
+    cols = "Pclass int, Age double, SibSp int, Parch int, Fare double, sexIndex double, embarkedIndex double, Survived int"
+    a = read_csv(spark, train_dir, schema=cols, header=False)
+    b = read_csv(spark, test_dir, schema=cols, header=False)
+    assert len(glob.glob(os.path.join(train_dir, "part-*.csv"))) == 1
+    whole = jobs.export_frame(raw)
+    assert a.unionByName(b).exceptAll(whole).count() == 0
+    assert whole.exceptAll(a.unionByName(b)).count() == 0
+    assert 0.6 < a.count() / whole.count() < 0.8
+    # NULL ages were filled with the constant, NULL ports dropped by the indexer
+    assert whole.where(F.col("Age").isNull()).count() == 0
+    assert whole.count() == raw.where(F.col("Embarked").isNotNull()).count()
