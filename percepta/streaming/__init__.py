@@ -1,0 +1,5 @@
+"""Streaming: the batch scorer applied to a file stream (``score_stream``)."""
+
+from percepta.streaming.score import score_stream
+
+__all__ = ["score_stream"]

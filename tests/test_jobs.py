@@ -100,3 +100,21 @@ def test_constant_fill_export_job(spark, passenger_csvs):
     # NULL ages were filled with the constant, NULL ports dropped by the indexer
     assert whole.where(F.col("Age").isNull()).count() == 0
     assert whole.count() == raw.where(F.col("Embarked").isNotNull()).count()
+
+
+def test_stream_scoring_equals_batch(spark, passenger_csvs):
+    from percepta.spec import PASSENGERS, SCORING_SCHEMA
+    from percepta.streaming import score_stream
+
+    train = read_csv(spark, f"{passenger_csvs}/train", schema=PASSENGER_SCHEMA)
+    pipeline = model.fit_classifier(train, PASSENGERS, model.mlp(max_iter=20))
+    sink = f"{passenger_csvs}/stream-out"
+    q = score_stream(
+        spark, pipeline, f"{passenger_csvs}/score", SCORING_SCHEMA, "PassengerId", sink,
+        checkpoint_dir=f"{passenger_csvs}/stream-ckpt",
+    )
+    q.awaitTermination(120)
+    streamed = read_csv(spark, sink, schema="PassengerId double, prediction double")
+    batch = jobs.score_frame(pipeline, read_csv(spark, f"{passenger_csvs}/score", schema=SCORING_SCHEMA), "PassengerId")
+    assert streamed.count() == 300
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
