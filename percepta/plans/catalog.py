@@ -31,7 +31,7 @@ from percepta.plans import jobs
 from percepta.session import shared_dir
 from percepta.sources.csv import preview, read_csv, write_csv
 from percepta.sources.fixture import passengers
-from percepta.spec import FIXTURE, PORT, PORT_NULL_DEFAULT, SEX
+from percepta.spec import FIXTURE, PASSENGER_SCHEMA, PORT, PORT_NULL_DEFAULT, SEX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -406,7 +406,7 @@ def q_mlp_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
         grid=None,
         folds=QUERY_CV_FOLDS,
         fold_col="fold",
-        parallelism=4,
+        parallelism=8,
     )
     return model.cv_summary(spark, cv)
 
@@ -425,6 +425,42 @@ def q_batch_score_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, out, schema="entity_id double, prediction double", header=True)
 
 
+def passenger_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The fixture as two passenger-style CSV files (training with label, scoring without).
+
+    Written to the shared folder with the original column names, so the
+    passenger jobs run unchanged on data that grows with ``orders``.
+    """
+    train, held_out = _train_validation(spark, sf_dir)
+
+    def as_passengers(df: DataFrame) -> DataFrame:
+        renamed = df.select(*[F.col(c).alias(TO_PASSENGER_NAMES[c]) for c in df.columns])
+        return renamed.withColumns(
+            {
+                "PassengerId": F.col("PassengerId").cast("int"),
+                "Name": F.lit(None).cast("string"),
+                "Ticket": F.lit(None).cast("string"),
+                "Cabin": F.lit(None).cast("string"),
+            }
+        ).select(*[f.name for f in PASSENGER_SCHEMA.fields])
+
+    train_path = write_csv(as_passengers(train), shared_dir(spark, "passengers-train"))
+    score_path = write_csv(
+        as_passengers(held_out).drop("Survived"), shared_dir(spark, "passengers-score")
+    )
+    return train_path, score_path
+
+
+def q_survival_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The train -> evaluate -> score job on passenger files; returns the exported scores."""
+    train_path, score_path = passenger_files(spark, sf_dir)
+    out = shared_dir(spark, "survival-result")
+    jobs.survival(
+        spark, train_path, score_path, out, classifier=model.mlp(max_iter=QUERY_MAX_ITER)
+    )
+    return read_csv(spark, out, schema="PassengerId double, prediction double", header=True)
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan_infer": q_csv_scan_infer,
     "project_columns": q_project_columns,
@@ -465,4 +501,5 @@ QUERIES: dict[str, Query] = {
     "mlp_report": q_mlp_report,
     "mlp_cv": q_mlp_cv,
     "batch_score_export": q_batch_score_export,
+    "survival_job": q_survival_job,
 }

@@ -34,6 +34,20 @@ def duckdb_connection(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCKDB = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "float": "FLOAT",
+    "smallint": "SMALLINT",
+    "tinyint": "TINYINT",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -80,7 +94,17 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> dict:
         return out
     res = con.execute(sql)
     oracle_cols = [d[0] for d in res.description]
+    oracle_types = {d[0]: str(d[1]).upper() for d in res.description}
     oracle_rows = res.fetchall()
+    spark_types = dict(df.dtypes)
+    type_diff = {
+        c: (t, oracle_types.get(c))
+        for c, t in spark_types.items()
+        if SPARK_TO_DUCKDB.get(t, t.upper()) != oracle_types.get(c)
+    }
+    out["types_match"] = not type_diff
+    if type_diff:
+        out["type_diff"] = {c: list(v) for c, v in type_diff.items()}
     out["oracle_rows"] = len(oracle_rows)
     out["columns_match"] = sorted(spark_cols) == sorted(oracle_cols)
     if not out["columns_match"]:

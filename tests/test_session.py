@@ -1,0 +1,13 @@
+"""Where intermediate output goes."""
+
+from __future__ import annotations
+
+from percepta.session import shared_dir
+
+
+def test_shared_dir_under_checkpoint_dir(spark):
+    base = spark.sparkContext.getCheckpointDir()
+    a = shared_dir(spark, "x")
+    b = shared_dir(spark, "x")
+    assert a != b  # fresh per call
+    assert a.startswith(base.rstrip("/") + "/x-")
