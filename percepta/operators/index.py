@@ -1,8 +1,12 @@
-"""String indexing of categorical columns (Spark ML ``StringIndexer``).
+"""String indexing of categorical columns (Spark ML ``StringIndexer`` models).
 
-One multi-column indexer counts all columns in a single pass. The fitted
-labels live on the driver (they are the model), so the number of distinct
-values per column must be bounded: categorical columns, not keys.
+The fitted labels live on the driver and travel to every task inside the
+indexing expression, so their number must be bounded: index categorical
+columns, not keys. ``fit_index`` makes that bound explicit: the value
+counts are one distributed aggregate (map-side partial counts, so a value
+holding a third of the rows costs nothing extra), at most
+``columns * max_levels + 1`` count rows are brought back, and a column over
+the bound fails the fit before any model is built.
 """
 
 from __future__ import annotations
@@ -12,8 +16,17 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_LEVELS = 100_000
+
+ORDERS = ("frequencyDesc", "frequencyAsc", "alphabetDesc", "alphabetAsc")
+
+
+def _outputs(input_cols: Sequence[str], output_cols: Sequence[str] | None) -> list[str]:
+    return list(output_cols or [f"{c}Index" for c in input_cols])
+
 
 def index_pipeline(
     input_cols: Sequence[str],
@@ -21,35 +34,111 @@ def index_pipeline(
     handle_invalid: str = "skip",
     order: str = "frequencyDesc",
 ) -> Pipeline:
-    """A pipeline indexing each input column to a double code.
+    """An unfitted pipeline indexing each input column to a double code.
 
     ``frequencyDesc``: most frequent value -> 0.0, ties alphabetical.
     ``handle_invalid="skip"`` drops rows with NULL or unseen values.
     """
-    outs = list(output_cols or [f"{c}Index" for c in input_cols])
     indexer = StringIndexer(
         inputCols=list(input_cols),
-        outputCols=outs,
+        outputCols=_outputs(input_cols, output_cols),
         handleInvalid=handle_invalid,
         stringOrderType=order,
     )
     return Pipeline(stages=[indexer])
 
 
-def fit_index(df: DataFrame, input_cols: Sequence[str], **kw) -> PipelineModel:
-    return index_pipeline(input_cols, **kw).fit(df)
+def value_counts(df: DataFrame, input_cols: Sequence[str]) -> DataFrame:
+    """``input_col``, ``value``, ``n``: non-null value counts of all columns in one pass."""
+    pairs = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("input_col"), F.col(c).cast("string").alias("value"))
+                for c in input_cols
+            ]
+        )
+    )
+    return (
+        df.select(pairs.alias("p"))
+        .select("p.*")
+        .where(F.col("value").isNotNull())
+        .groupBy("input_col", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
-def index_labels(spark: SparkSession, model: PipelineModel | StringIndexerModel) -> DataFrame:
-    """The fitted labels as a table: ``column``, ``value``, ``idx`` (double)."""
+def order_labels(counts: list[tuple[str, int]], order: str) -> list[str]:
+    """Labels in index order; frequency ties are broken alphabetically."""
+    if order == "frequencyDesc":
+        ordered = sorted(counts, key=lambda vn: (-vn[1], vn[0]))
+    elif order == "frequencyAsc":
+        ordered = sorted(counts, key=lambda vn: (vn[1], vn[0]))
+    elif order == "alphabetAsc":
+        ordered = sorted(counts)
+    elif order == "alphabetDesc":
+        ordered = sorted(counts, reverse=True)
+    else:
+        raise ValueError(f"order must be one of {ORDERS}")
+    return [v for v, _ in ordered]
+
+
+def fit_index(
+    df: DataFrame,
+    input_cols: Sequence[str],
+    output_cols: Sequence[str] | None = None,
+    handle_invalid: str = "skip",
+    order: str = "frequencyDesc",
+    max_levels: int = MAX_LEVELS,
+) -> PipelineModel:
+    """Fit the labels with a checked bound; a ``PipelineModel`` of one indexer per column.
+
+    Same labels as ``StringIndexer.fit`` (NULLs are not labels; frequency
+    ties are broken alphabetically). Raises when a column has more than
+    ``max_levels`` distinct values; the driver never holds more than
+    ``len(input_cols) * max_levels + 1`` count rows.
+    """
+    cols = list(input_cols)
+    # One aggregate; at most len(cols) * max_levels + 1 rows reach the driver.
+    cap = len(cols) * max_levels
+    rows = value_counts(df, cols).limit(cap + 1).collect()
+    per_col: dict[str, list[tuple[str, int]]] = {c: [] for c in cols}
+    for r in rows:
+        per_col[r["input_col"]].append((r["value"], r["n"]))
+    too_many = {c: len(v) for c, v in per_col.items() if len(v) > max_levels}
+    if len(rows) > cap or too_many:
+        raise ValueError(
+            f"too many distinct values to index (limit {max_levels} per column): "
+            f"{too_many or 'over the total limit'}; index categorical columns, or raise max_levels"
+        )
+    # One model per column: a multi-column model built from label arrays of
+    # unequal lengths would pad the shorter ones with NULL labels.
+    stages = [
+        StringIndexerModel.from_labels(
+            order_labels(per_col[c], order), inputCol=c, outputCol=out, handleInvalid=handle_invalid
+        )
+        for c, out in zip(cols, _outputs(cols, output_cols), strict=True)
+    ]
+    return PipelineModel(stages=stages)
+
+
+def labels_of(model: PipelineModel | StringIndexerModel) -> dict[str, list[str]]:
+    """``{input column: labels in index order}`` of every indexer in ``model``."""
     stages = model.stages if isinstance(model, PipelineModel) else [model]
-    rows = []
+    out: dict[str, list[str]] = {}
     for stage in stages:
         if not isinstance(stage, StringIndexerModel):
             continue
         cols = stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
         for col, labels in zip(cols, stage.labelsArray, strict=True):
-            rows += [(col, value, float(i)) for i, value in enumerate(labels)]
+            out[col] = list(labels)
+    return out
+
+
+def index_labels(spark: SparkSession, model: PipelineModel | StringIndexerModel) -> DataFrame:
+    """The fitted labels as a table: ``column``, ``value``, ``idx`` (double)."""
+    rows = [
+        (col, value, float(i)) for col, labels in labels_of(model).items() for i, value in enumerate(labels)
+    ]
     schema = T.StructType(
         [
             T.StructField("column", T.StringType(), False),

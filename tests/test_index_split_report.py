@@ -29,7 +29,28 @@ def test_index_matches_sql_on_fixture(spark, fixture_small):
     fitted = index.fit_index(fixture_small, ["site"], output_cols=["site_index"])
     counts = fixture_small.where(F.col("site").isNotNull()).groupBy("site").count().collect()
     expected = [r["site"] for r in sorted(counts, key=lambda r: (-r["count"], r["site"]))]
-    assert fitted.stages[0].labelsArray[0] == expected
+    assert index.labels_of(fitted) == {"site": expected}
+
+
+@pytest.mark.parametrize("order", index.ORDERS)
+def test_fit_index_equals_string_indexer(spark, fixture_small, order):
+    df = fixture_small.withColumn("tier_s", F.col("tier").cast("string"))
+    cols = ["grp", "site", "tier_s"]
+    ours = index.fit_index(df, cols, order=order)
+    theirs = index.index_pipeline(cols, order=order).fit(df)
+    assert index.labels_of(ours) == index.labels_of(theirs)
+    a = ours.transform(df).select("entity_id", "grpIndex", "siteIndex", "tier_sIndex")
+    b = theirs.transform(df).select("entity_id", "grpIndex", "siteIndex", "tier_sIndex")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fit_index_refuses_unbounded_columns(spark, fixture_small):
+    with pytest.raises(ValueError, match="too many distinct values"):
+        index.fit_index(fixture_small.withColumn("k", F.col("entity_id").cast("string")), ["k"], max_levels=100)
+    with pytest.raises(ValueError, match="too many distinct values"):
+        index.fit_index(
+            fixture_small.withColumn("k", F.col("entity_id").cast("string")), ["grp", "k"], max_levels=100
+        )
 
 
 def test_random_split_disjoint_and_complete(spark, fixture_small):
