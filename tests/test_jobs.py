@@ -118,3 +118,16 @@ def test_stream_scoring_equals_batch(spark, passenger_csvs):
     batch = jobs.score_frame(pipeline, read_csv(spark, f"{passenger_csvs}/score", schema=SCORING_SCHEMA), "PassengerId")
     assert streamed.count() == 300
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_command_line(spark, passenger_csvs, capsys):
+    from percepta.__main__ import main
+
+    out = f"{passenger_csvs}/cli-result"
+    assert main(["train", "--train", f"{passenger_csvs}/train", "--score", f"{passenger_csvs}/score",
+                 "--out", out, "--max-iter", "10"]) == 0
+    assert "weighted_precision" in capsys.readouterr().out
+    assert read_csv(spark, out, schema="PassengerId double, prediction double").count() == 300
+    assert main(["export", "--train", f"{passenger_csvs}/train", "--out", f"{passenger_csvs}/cli-export",
+                 "--seed", "1"]) == 0
+    assert "split=train" in capsys.readouterr().out
