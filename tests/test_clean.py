@@ -1,0 +1,45 @@
+"""Projection, casts, constant fill, drop, rename, null rows on hand-written rows."""
+
+from __future__ import annotations
+
+import pytest
+
+from percepta.operators import clean
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return spark.createDataFrame(
+        [(1, "0.92", -1.5, None, "S"), (2, "22", 80.7, 3, None), (3, "x", None, 1, "C")],
+        "id int, age_text string, age double, cls int, port string",
+    )
+
+
+def test_casts_truncate_and_null_on_bad_input(raw):
+    out = {r["id"]: r for r in clean.cast_columns(raw, {"id": "int", "age_text": "double", "age": "int"}).collect()}
+    assert out[1]["age"] == -1 and out[2]["age"] == 80  # toward zero
+    assert out[1]["age_text"] == 0.92 and out[3]["age_text"] is None  # unparsable -> NULL
+    assert list(clean.cast_columns(raw, {"age": "int"}, keep_others=True).columns) == raw.columns
+
+
+def test_unsafe_cast_fails_on_bad_input(raw):
+    with pytest.raises(Exception):
+        clean.cast_columns(raw, {"age_text": "double"}, safe=False).collect()
+
+
+def test_fill_constants_types(raw):
+    out = {r["id"]: r for r in clean.fill_constants(raw, {"age": 30, "cls": 2.7, "port": "S"}).collect()}
+    assert out[3]["age"] == 30.0
+    assert out[1]["cls"] == 2  # fractional constant into an int column is truncated
+    assert out[2]["port"] == "S"
+
+
+def test_drop_ignores_absent_and_rename_forms(raw):
+    assert clean.drop_columns(raw, "port", "Name", "Ticket").columns == ["id", "age_text", "age", "cls"]
+    assert clean.rename_columns(raw, ["a", "b", "c", "d", "e"]).columns == ["a", "b", "c", "d", "e"]
+    assert clean.rename_columns(raw, {"cls": "Pclass"}).columns[3] == "Pclass"
+
+
+def test_null_rows(raw):
+    assert [r["id"] for r in clean.null_rows(raw, "port").collect()] == [2]
+    assert clean.project(raw, "id").columns == ["id"]
