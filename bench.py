@@ -1,7 +1,9 @@
 """Benchmark: run the catalogue's headline queries and print one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_QUERIES`` (comma list, default the headline set).
+(default 8), ``BENCH_QUERIES`` (comma list, default the headline set),
+``BENCH_EVENT_LOG_DIR`` (write Spark's event log there, for stage and task
+times without the UI).
 Each query is executed in full with a ``noop`` write (no rows are collected
 to the driver); the time includes any jobs it runs while planning (moment
 fits, index fits, training).
@@ -48,11 +50,13 @@ def main() -> None:
     from percepta.plans.catalog import QUERIES
     from percepta.session import build_session
 
+    conf = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:
+        os.makedirs(event_dir, exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(
-        f"local[{cpus}]",
-        app_name="percepta-bench",
-        shuffle_partitions=cpus,
-        conf={"spark.driver.memory": "16g"},
+        f"local[{cpus}]", app_name="percepta-bench", shuffle_partitions=cpus, conf=conf
     )
     # Warm the JVM (class loading, codegen caches) on the smallest table.
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
