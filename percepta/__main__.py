@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
         print(prepared.features.moments)
         prepared.train.show(truncate=False)
     elif args.job == "train":
-        res = jobs.survival(
+        res = jobs.fit_evaluate_score(
             spark,
             args.train,
             args.score,
@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
         )
         res.report.show(truncate=False)
     else:
-        res = jobs.survival_cv(
+        res = jobs.cv_evaluate_score(
             spark,
             args.train,
             args.score,

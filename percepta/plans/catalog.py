@@ -455,11 +455,11 @@ def passenger_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return train_path, score_path
 
 
-def q_survival_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_train_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The train -> evaluate -> score job on passenger files; returns the exported scores."""
     train_path, score_path = passenger_files(spark, sf_dir)
-    out = shared_dir(spark, "survival-result")
-    jobs.survival(spark, train_path, score_path, out)
+    out = shared_dir(spark, "train-score-result")
+    jobs.fit_evaluate_score(spark, train_path, score_path, out)
     return read_csv(spark, out, schema="PassengerId double, prediction double", header=True)
 
 
@@ -503,5 +503,5 @@ QUERIES: dict[str, Query] = {
     "mlp_report": q_mlp_report,
     "mlp_cv": q_mlp_cv,
     "batch_score_export": q_batch_score_export,
-    "survival_job": q_survival_job,
+    "train_score_job": q_train_score_job,
 }

@@ -10,7 +10,7 @@ from percepta.plans.check import compare, duckdb_connection
 from percepta.plans.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
-MODEL_QUERIES = {"mlp_train_score", "mlp_report", "mlp_cv", "batch_score_export", "survival_job"}
+MODEL_QUERIES = {"mlp_train_score", "mlp_report", "mlp_cv", "batch_score_export", "train_score_job"}
 
 
 @pytest.fixture(scope="module")

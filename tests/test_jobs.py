@@ -18,7 +18,7 @@ from percepta.spec import PASSENGER_SCHEMA
 
 @pytest.fixture(scope="module")
 def passenger_csvs(spark):
-    """Training file (with label) and scoring file (without), Titanic column names."""
+    """Training file (with label) and scoring file (without), passenger column names."""
     import tempfile
 
     from percepta.sources.fixture import passengers
@@ -39,9 +39,9 @@ def passenger_csvs(spark):
     return base
 
 
-def test_survival_job(spark, passenger_csvs):
+def test_fit_evaluate_score_job(spark, passenger_csvs):
     out = f"{passenger_csvs}/result"
-    res = jobs.survival(
+    res = jobs.fit_evaluate_score(
         spark,
         f"{passenger_csvs}/train",
         f"{passenger_csvs}/score",
@@ -56,12 +56,12 @@ def test_survival_job(spark, passenger_csvs):
     assert scored.count() == 300
     assert scored.agg(F.min("PassengerId")).first()[0] == 1200.0
     with pytest.raises(Exception):  # default mode: the second run must not overwrite
-        jobs.survival(spark, f"{passenger_csvs}/train", f"{passenger_csvs}/score", out,
+        jobs.fit_evaluate_score(spark, f"{passenger_csvs}/train", f"{passenger_csvs}/score", out,
                       classifier=model.mlp(max_iter=5))
 
 
-def test_survival_job_inferred_and_fit_on_train(spark, passenger_csvs):
-    res = jobs.survival(
+def test_fit_evaluate_score_job_inferred_and_fit_on_train(spark, passenger_csvs):
+    res = jobs.fit_evaluate_score(
         spark,
         f"{passenger_csvs}/train",
         None,
@@ -74,10 +74,10 @@ def test_survival_job_inferred_and_fit_on_train(spark, passenger_csvs):
     assert res.report.first()["accuracy"] > 0.8
 
 
-def test_survival_cv_job(spark, passenger_csvs):
+def test_cv_evaluate_score_job(spark, passenger_csvs):
     clf = model.mlp(layers=D.CV_LAYERS)
     grid = model.param_grid(clf, block_sizes=[32], max_iters=[10, 30], tols=[1e-4])
-    res = jobs.survival_cv(
+    res = jobs.cv_evaluate_score(
         spark, f"{passenger_csvs}/train", f"{passenger_csvs}/score", f"{passenger_csvs}/cv-result",
         folds=3, grid=grid, parallelism=2,
     )
