@@ -63,24 +63,28 @@ def main() -> None:
     if os.path.isdir(small):
         QUERIES["feature_columns"](spark, small).write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # one failing query must not lose the others' times
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(
-        json.dumps(
-            {
-                "metric": "catalogue_total_time",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": float(m.group(1)) if m else sf_dir,
-            }
-        )
-    )
+    record = {
+        "metric": "catalogue_total_time",
+        "value": round(sum(t for t in times.values() if t is not None), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": float(m.group(1)) if m else sf_dir,
+    }
+    if errors:
+        record["errors"] = errors
+    print(json.dumps(record))
 
 
 if __name__ == "__main__":
