@@ -301,6 +301,13 @@ def q_keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_features(vector_columns(keyed_features(fm.transform(held_out), FIXTURE), FIXTURE.width))
 
 
+def q_prepare_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepare job: moments -> features -> seeded 80/20 split; both parts, unioned."""
+    prepared = jobs.prepare(_fixture(spark, sf_dir), FIXTURE)
+    parts = prepared.train.unionByName(prepared.validation)
+    return _round_features(vector_columns(parts, FIXTURE.width))
+
+
 def q_prepare_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, _ = prepare_training(_fixture(spark, sf_dir), FIXTURE)
     return frame.withColumns({"amount": F.round("amount", 4), "tenure": F.round("tenure", 6)})
@@ -487,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "feature_columns": q_feature_columns,
     "labeled_features": q_labeled_features,
     "keyed_features": q_keyed_features,
+    "prepare_split": q_prepare_split,
     "prepare_training": q_prepare_training,
     "prepare_scoring": q_prepare_scoring,
     "string_index_labels": q_string_index_labels,

@@ -152,3 +152,6 @@ ORACLE_SQL: dict[str, str] = {
  {REPORT}""",
     "constant_fill_export": f"""{EXPORT_FRAME} SELECT * FROM export""",
 }
+
+# The prepare job's two parts together are exactly the labelled feature table.
+ORACLE_SQL["prepare_split"] = ORACLE_SQL["labeled_features"]
