@@ -141,3 +141,13 @@ def test_spec_json_roundtrip():
     for spec in (FIXTURE, PASSENGERS):
         assert FeatureSpec.from_json(spec.to_json()) == spec
     assert FIXTURE.width == 10 and FIXTURE.feature_names()[-1] == "f9"
+
+
+def test_prepare_fit_on_train_uses_training_rows_only(spark, fixture_small):
+    from percepta.plans import jobs
+
+    leak = jobs.prepare(fixture_small, FIXTURE)  # original order: moments before the split
+    clean = jobs.prepare(fixture_small, FIXTURE, fit_on="train")
+    assert leak.features.moments.count == 1500
+    assert clean.features.moments.count == clean.train.count() < 1500
+    assert clean.train.count() + clean.validation.count() == 1500
