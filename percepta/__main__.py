@@ -21,6 +21,7 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="percepta")
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None)
+    p.add_argument("--format", choices=["csv", "parquet"], default="csv", help="input file format")
     sub = p.add_subparsers(dest="job", required=True)
 
     ex = sub.add_parser("export", help="constant fill, index, seeded split, headerless CSV")
@@ -56,18 +57,18 @@ def main(argv: list[str] | None = None) -> int:
     from percepta.operators import model
     from percepta.plans import jobs
     from percepta.session import build_session
-    from percepta.sources.csv import read_csv
+    from percepta.sources.csv import read_input
     from percepta.spec import PASSENGER_SCHEMA
 
     spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
     if args.job == "export":
-        raw = read_csv(spark, args.train, schema=PASSENGER_SCHEMA)
+        raw = read_input(spark, args.train, args.format, PASSENGER_SCHEMA)
         for path in jobs.constant_fill_export(
             raw, args.out, seed=args.seed, files=args.files, mode=args.mode
         ):
             print(path)
     elif args.job == "prepare":
-        raw = read_csv(spark, args.train, schema=PASSENGER_SCHEMA)
+        raw = read_input(spark, args.train, args.format, PASSENGER_SCHEMA)
         prepared = jobs.prepare(raw, fit_on=args.fit_on)
         print(prepared.features.moments)
         prepared.train.show(truncate=False)
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> int:
             fit_on=args.fit_on,
             mode=args.mode,
             infer_schema=args.infer_schema,
+            input_format=args.format,
         )
         res.report.show(truncate=False)
     else:
@@ -93,6 +95,7 @@ def main(argv: list[str] | None = None) -> int:
             parallelism=args.parallelism,
             mode=args.mode,
             infer_schema=args.infer_schema,
+            input_format=args.format,
         )
         res.summary.show(truncate=False)
         res.report.show(truncate=False)

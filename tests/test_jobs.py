@@ -131,3 +131,16 @@ def test_command_line(spark, passenger_csvs, capsys):
     assert main(["export", "--train", f"{passenger_csvs}/train", "--out", f"{passenger_csvs}/cli-export",
                  "--seed", "1"]) == 0
     assert "split=train" in capsys.readouterr().out
+
+
+def test_parquet_inputs(spark, passenger_csvs, capsys):
+    from percepta.__main__ import main
+    from percepta.spec import SCORING_SCHEMA
+
+    for name, schema in (("train", PASSENGER_SCHEMA), ("score", SCORING_SCHEMA)):
+        read_csv(spark, f"{passenger_csvs}/{name}", schema=schema).write.parquet(f"{passenger_csvs}/{name}-parquet")
+    out = f"{passenger_csvs}/parquet-result"
+    assert main(["--format", "parquet", "train", "--train", f"{passenger_csvs}/train-parquet",
+                 "--score", f"{passenger_csvs}/score-parquet", "--out", out, "--max-iter", "10"]) == 0
+    assert "accuracy" in capsys.readouterr().out
+    assert read_csv(spark, out, schema="PassengerId double, prediction double").count() == 300
