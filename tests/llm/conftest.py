@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import pytest
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Documents of (doc_id, text), with source and lang where given."""
+
+    def make(rows):
+        full = []
+        for row in rows:
+            doc_id, text, *more = row
+            lang = more[0] if more else "en"
+            source = more[1] if len(more) > 1 else "src0"
+            full.append((doc_id, text, lang, source, None if text is None else len(text)))
+        return spark.createDataFrame(full, DOCUMENT)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def clash(documents):
+    """The same with extra columns that are named like the operators' own."""
+    from pyspark.sql import functions as F
+
+    names = (
+        "__row text_key tkey key ctx uid comp host size score kept lang_pred n_words n_hit items spans "
+        "verdict path rule hash target taken x i at id class a.b"
+    ).split()
+
+    def make(rows):
+        df = documents(rows)
+        return df.select("*", *[F.lit("extra").alias(n) for n in names])
+
+    return make
+
+
+#: Nulls in any column, empty and blank texts, ties and repeated rows.
+ODD = [
+    (1, None, None, None),
+    (None, "a text with a null id and some words in it", "en", None),
+    (None, None, None, None),
+    (2, "", "en", "src1"),
+    (3, " \n\t ", "en", "src1"),
+    (4, "the same row twice, word by word, for ties", "en", "src1"),
+    (4, "the same row twice, word by word, for ties", "en", "src1"),
+    (5, "the same row twice, word by word, for ties", None, "src2"),
+    (6, "1234 5678 !!! ***", "de", ""),
+]

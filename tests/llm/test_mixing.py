@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+import re
+from fractions import Fraction
+
+import pytest
+
+from percepta.llm import mixing
+from tests.llm.conftest import ODD
+
+
+def size_of(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def brute_targets(sizes):
+    """Exact water-filling by repeated sharing of what capped sources leave."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    total = Fraction(3, 2) * sum(sizes.values())
+    capped: set = set()
+    while True:
+        free = [s for s in names if s not in capped]
+        if not free:
+            break
+        level = (total - sum(2 * sizes[s] for s in capped)) / sum(weight[s] for s in free)
+        more = {s for s in free if weight[s] * level > 2 * sizes[s]}
+        if not more:
+            break
+        capped |= more
+    return {s: 2 * sizes[s] if s in capped else weight[s] * level for s in names}
+
+
+def rows_of(seed=1):
+    rng = random.Random(seed)
+    rows = [(d[0], d[1], "en", d[3] if len(d) > 3 else "src0") for d in ODD]
+    for k in range(300):
+        source = rng.choice(["a", "b", "ä", "B", None, "hot", "hot", "hot", "zz"])
+        rows.append((100 + k, "w " * rng.choice([0, 1, 5, 40, 700]), "en", source))
+    rows.append((9999, "long " * 50_000, "en", "b"))
+    return rows
+
+
+def check(rows, out):
+    assert len(out) == len(rows)
+    sizes: dict = {}
+    for _, text, _, source in rows:
+        sizes[source] = sizes.get(source, 0) + size_of(text)
+    target = brute_targets(sizes)
+    taken: dict = {}
+    for r in out:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(float(target[r.source]), rel=1e-12)
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s, t in taken.items():
+        assert abs(t - float(target[s])) <= 1
+    assert sorted((str(r.doc_id), r.size) for r in out) == sorted((str(d), size_of(t)) for d, t, *_ in rows)
+
+
+def test_targets_and_taken_words(clash):
+    rows = rows_of()
+    check(rows, mixing.mix(clash(rows)).collect())
+
+
+def test_reruns_and_partitioning_agree(documents):
+    rows = [r for r in rows_of(2) if r[0] is not None]
+    first = sorted(mixing.mix_report(documents(rows)).collect())
+    random.Random(3).shuffle(rows)
+    assert sorted(mixing.mix_report(documents(rows).repartition(5)).collect()) == first
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "a b c", "en", "only")],
+    [(1, "", "en", "x"), (2, None, "en", None)],
+    [(k, "same text", "en", "x") for k in (1, 1, 1, 1, 1)],
+    [(1, "a", "en", "x"), (2, "b " * 100, "en", "y")],
+])
+def test_small_tables(documents, rows):
+    check(rows, mixing.mix(documents(rows)).collect())
+
+
+def test_no_python_in_the_plan(documents):
+    plan = mixing.mix(documents([(1, "a b", "en", "s")]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_empty_table(documents):
+    assert mixing.mix(documents([])).collect() == []

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from percepta.llm import queries, ranking
+from percepta.llm.common import materialize
+from percepta.plans.check import compare, duckdb_connection
+from tests.llm.conftest import ODD
+from tests.llm.test_dartminhash import brute_classes
+from tests.llm.test_decontam import brute as brute_hits
+from tests.llm.test_mixing import check as check_mix
+from tests.llm.test_repeats import covered
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb_connection(SF_SMALL)
+    result = compare(spark, con, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF_SMALL)
+    assert result["columns_match"] and result["types_match"] and result["match"], result
+    assert result["rows"] == result["oracle_rows"]
+
+
+def tables(tmp, spark, rows, labels, items, documents):
+    documents(rows).write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    return str(tmp)
+
+
+def make_rows(rng):
+    words = [f"word{k}" for k in range(500)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    passage, item = text(80), text(15)
+    rows = [(k, text(rng.randint(30, 120)), "en", f"s{k % 4}") for k in range(60)]
+    rows += [(100 + k, rows[k][1], "en", "s1") for k in range(5)]  # exact copies
+    rows += [(200 + k, rows[10 + k][1] + " end", "en", "s2") for k in range(5)]  # near copies
+    rows += [(300 + k, f"{text(60)} {passage} {text(60)}", "en", "s3") for k in range(4)]
+    rows += [(400 + k, f"{text(30)} {item} {text(30)}", "en", None) for k in range(3)]
+    rows += [(500 + k, " ".join(w + "###" for w in rng.choices(words, k=50)), "en", "s0") for k in range(20)]
+    labels = [(d, int(d < 500), 0) for d, *_ in rows if d % 2]
+    return rows, labels, [(1, item), (2, "no such words anywhere")]
+
+
+def test_stages_equal_brute_force(spark, documents, tmp_path):
+    rows, labels, items = make_rows(random.Random(1))
+    sf_dir = tables(tmp_path, spark, rows, labels, items, documents)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, source = docs.columns, {r[0]: r[3] for r in rows}
+    have = {r[0]: r[1] for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), "stage")
+        assert docs.columns == columns
+        got = {r.doc_id: r for r in docs.collect()}
+        if name == "quality_classifier":
+            assert set(got) == {d for d in have if d < 500}
+            have = {d: have[d] for d in got}
+        elif name == "minhash_near_dedup":
+            listed = sorted(have.items())
+            assert set(got) == {listed[k][0] for k in brute_classes(listed)}
+            have = {d: have[d] for d in got}
+        elif name == "suffix_array_dedup":
+            listed = sorted(have.items())
+            flags = covered([t.encode() for _, t in listed], 400)
+            have = {d: "".join(c for c, x in zip(t, f, strict=True) if not x) for (d, t), f in zip(listed, flags, strict=True)}
+            assert sum(map(sum, flags)) > 1600
+        else:
+            have = {d: t for d, t in have.items() if not brute_hits(t, items)[1]}
+        assert {d: r.text for d, r in got.items()} == have
+        assert all(r.n_chars == len(r.text) for r in got.values())
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    check_mix([(d, t, "en", source[d]) for d, t in have.items()], out)
+    assert sorted(corpus_pipeline.run(spark, sf_dir).collect()) == sorted(out)
+
+
+def test_stages_on_odd_and_empty_rows(spark, clash):
+    for rows in (ODD, []):
+        docs = clash(rows)
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF_SMALL)
+            assert out.count() <= len(rows)
+            if stage is not corpus_pipeline.STAGES[-1][1]:
+                assert out.columns == docs.columns
+
+
+def test_classifier_on_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = ranking.quality_report(docs, labels).join(labels, "doc_id").where("held_out")
+    row = out.selectExpr("avg(cast(predicted = quality as int)) as right", "count(*) as n").first()
+    assert row.n > 50 and row.right > 0.93
+
+
+def test_entry_registers_all(spark):
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert {"pipeline", *queries.QUERIES} <= set(names)
+    assert set(queries.ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
