@@ -64,7 +64,9 @@ _BYTE = np.random.Generator(np.random.Philox(key=[5, 64])).integers(
 )
 _BASE = 0x9E3779B97F4A7C15
 
-OCCURRENCE = "key long, ctx long, tkey binary, a int, lo int, hi int"
+#: Equal contexts of one text share a row: the anchor lies ``off`` behind each start in ``los``,
+#: the last window starts ``span`` behind it.
+OCCURRENCE = "key long, ctx long, tkey binary, off int, span int, los array<int>"
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -109,6 +111,18 @@ def _signed(values) -> np.ndarray:
     return np.asarray(values, dtype=np.uint64).view(np.int64)
 
 
+def _rows(found: list[tuple], most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Batches of occurrences (key, ctx, tkey, off, span, los)."""
+    kinds = (pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+    for k in range(0, len(found), most):
+        key, ctx, *rest = zip(*found[k : k + most], strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_signed(key)), pa.array(_signed(ctx))]
+            + [pa.array(v, t) for v, t in zip(rest, kinds, strict=True)],
+            names=["key", "ctx", "tkey", "off", "span", "los"],
+        )
+
+
 def _first_level(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,28 +131,14 @@ def _first_level(length: int, gram: int):
                 keys = texts_of(part, "tkey")
                 joined = b"".join(texts)
                 ends = np.cumsum([len(t) for t in texts])
-                text, a, lo, hi, h = anchors(
-                    np.frombuffer(joined, dtype=np.uint8), ends, length, gram
-                )
-                if not len(text):
-                    continue
+                places = anchors(np.frombuffer(joined, dtype=np.uint8), ends, length, gram)
                 view = memoryview(joined)
-                ctx = [
-                    xxhash.xxh3_64_intdigest(view[x : y + length], z - x)
-                    for x, y, z in zip(lo.tolist(), hi.tolist(), a.tolist(), strict=True)
-                ]
-                base = (ends - [len(t) for t in texts])[text]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(_signed(h)),
-                        pa.array(_signed(ctx)),
-                        pa.array([keys[k] for k in text.tolist()], pa.binary()),
-                        pa.array((a - base).astype(np.int32)),
-                        pa.array((lo - base).astype(np.int32)),
-                        pa.array((hi - base).astype(np.int32)),
-                    ],
-                    names=["key", "ctx", "tkey", "a", "lo", "hi"],
-                )
+                begin = (ends - [len(t) for t in texts]).tolist()
+                found: dict[tuple, list[int]] = {}
+                for t, a, lo, hi, key in zip(*(c.tolist() for c in places), strict=True):
+                    ctx = xxhash.xxh3_64_intdigest(view[lo : hi + length], a - lo)
+                    found.setdefault((t, key, ctx, a - lo, hi - lo), []).append(lo - begin[t])
+                yield from _rows([(k, c, keys[t], o, n, v) for (t, k, c, o, n), v in found.items()])
 
     return run
 
@@ -147,6 +147,18 @@ def _finer_level(length: int, gram: int, step: int):
     """Occurrences (``places`` of each text) cut into parts of ``step`` window starts."""
     reach = length - gram
 
+    def cut(view: memoryview, place: dict) -> Iterator[tuple]:
+        key = (place["key"] & (1 << 64) - 1).to_bytes(8, "little")
+        for start in place["los"]:
+            zero = start + place["off"] - reach
+            for b in range((start - zero) // step, (start + place["span"] - zero) // step + 1):
+                x = zero + b * step
+                lo, hi = max(start, x), min(start + place["span"], x + step - 1)
+                common = xxhash.xxh3_64_intdigest(view[x + step - 1 : x + length], b)
+                new = xxhash.xxh3_64_intdigest(common.to_bytes(8, "little") + key)
+                off = start + place["off"] - lo
+                yield new, xxhash.xxh3_64_intdigest(view[lo : hi + length], off), off, hi - lo, lo
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in small(batch, SLICE_BYTES):
@@ -154,30 +166,12 @@ def _finer_level(length: int, gram: int, step: int):
                 for text, tkey, places in zip(
                     texts_of(part), texts_of(part, "tkey"), texts_of(part, "places"), strict=True
                 ):
-                    view = memoryview(text)
-                    for p in places:
-                        key, a = p["key"], p["a"]
-                        zero = a - reach
-                        for b in range((p["lo"] - zero) // step, (p["hi"] - zero) // step + 1):
-                            x = zero + b * step
-                            lo, hi = max(p["lo"], x), min(p["hi"], x + step - 1)
-                            common = xxhash.xxh3_64_intdigest(view[x + step - 1 : x + length], b)
-                            new = xxhash.xxh3_64_intdigest(
-                                common.to_bytes(8, "little") + (key & (1 << 64) - 1).to_bytes(8, "little")
-                            )
-                            ctx = xxhash.xxh3_64_intdigest(view[lo : hi + length], a - lo)
-                            rows.append((new, ctx, tkey, a, lo, hi))
-                for k in range(0, len(rows), 50_000):
-                    new, ctx, tkey, a, lo, hi = zip(*rows[k : k + 50_000], strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(_signed(new)),
-                            pa.array(_signed(ctx)),
-                            pa.array(tkey, pa.binary()),
-                            *(pa.array(v, pa.int32()) for v in (a, lo, hi)),
-                        ],
-                        names=["key", "ctx", "tkey", "a", "lo", "hi"],
-                    )
+                    found: dict[tuple, list[int]] = {}
+                    for place in places:
+                        for *name, lo in cut(memoryview(text), place):
+                            found.setdefault(tuple(name), []).append(lo)
+                    rows += [(k, c, tkey, o, n, v) for (k, c, o, n), v in found.items()]
+                yield from _rows(rows)
 
     return run
 
@@ -288,34 +282,30 @@ def repeated_spans(
 
 
 def _compare(length: int, block_bytes: int):
-    """Rows (key, ctx, a, lo, bytes) sorted by key, to spans (key, ctx, s, e) from the anchor."""
-
-    def solve(rows: list[tuple]) -> pa.RecordBatch | None:
-        out = []
-        for (key, ctx, a, lo, _), spans in zip(rows, repeated_spans([r[4] for r in rows], length), strict=True):
-            out += [(key, ctx, lo + s - a, lo + e - a) for s, e in spans]
-        if not out:
-            return None
-        key, ctx, s, e = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key, pa.int64()), pa.array(ctx, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())],
-            names=["key", "ctx", "s", "e"],
-        )
+    """Rows (key, ctx, data) sorted by key, to repeated parts (key, ctx, s, e) of the contexts."""
+
+    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        spans = repeated_spans([r[2] for r in rows], length)
+        out = [(key, ctx, s, e) for (key, ctx, _), found in zip(rows, spans, strict=True) for s, e in found]
+        if out:
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                names=["key", "ctx", "s", "e"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(5)]
-            for row in zip(*columns, strict=True):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if rows and rows[-1][0] != row[0] and held >= block_bytes:
-                    if (found := solve(rows)) is not None:
-                        yield found
+                    yield from solve(rows)
                     rows, held = [], 0
                 rows.append(row)
-                held += len(row[4])
-        if rows and (found := solve(rows)) is not None:
-            yield found
+                held += len(row[2])
+        if rows:
+            yield from solve(rows)
 
     return run
 
@@ -327,21 +317,15 @@ def _contexts(length: int):
         for batch in batches:
             for part in small(batch, SLICE_BYTES):
                 rows = [
-                    (p["key"], p["ctx"], p["a"], p["lo"], text[p["lo"] : p["hi"] + length])
+                    (p["key"], p["ctx"], text[p["lo"] : p["lo"] + p["span"] + length])
                     for text, places in zip(texts_of(part), texts_of(part, "places"), strict=True)
                     for p in places
                 ]
                 for k in range(0, len(rows), 4000):
-                    key, ctx, a, lo, data = zip(*rows[k : k + 4000], strict=True)
+                    key, ctx, data = zip(*rows[k : k + 4000], strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(key, pa.int64()),
-                            pa.array(ctx, pa.int64()),
-                            pa.array(a, pa.int32()),
-                            pa.array(lo, pa.int32()),
-                            pa.array(data, pa.binary()),
-                        ],
-                        names=["key", "ctx", "a", "lo", "data"],
+                        [pa.array(key, pa.int64()), pa.array(ctx, pa.int64()), pa.array(data, pa.binary())],
+                        names=["key", "ctx", "data"],
                     )
 
     return run
@@ -356,70 +340,66 @@ def repeated(
 ) -> DataFrame:
     """(tkey, spans): the repeated parts of each text of (tkey, ``__text``) that has any.
 
+    A span (los, s, e) is the bytes from s to e behind each start in ``los``.
     Rows with equal keys must have equal texts; each row counts as a text.
     """
     spans = []
     # Step 2 has all windows of a text with copies: later steps need it once, as a partner.
     once = texts.groupBy("tkey").agg(F.first(TEXT).alias(TEXT))
+    many = F.sum(F.size("los"))
+    whole = [F.lit(0).alias("s"), (F.col("span") + length).alias("e")]
     rows = texts.mapInArrow(_first_level(length, gram), OCCURRENCE)
     for step in (*PARTS, None):
         found = materialize(rows, "anchors")
-        shared = found.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("ctx").alias("least"), F.max("ctx").alias("most")
-        )
+        shared = found.groupBy("key").agg(many.alias("n"), F.min("ctx").alias("least"), F.max("ctx").alias("most"))
         shared = shared.where("n > 1").select("key", (F.col("least") != F.col("most")).alias("differ"))
+        shared = materialize(shared, "keys")  # a plain table: the join can split a hot key
         found = materialize(found.join(shared, "key"), "shared")
-        spans.append(found.where("not differ").select("tkey", F.col("lo").alias("s"), (F.col("hi") + length).alias("e")))
+        spans.append(found.where("not differ").select("tkey", "los", *whole))
         found = found.where("differ")
-        kinds = materialize(
-            found.groupBy("key", "ctx").agg(
-                F.count(F.lit(1)).alias("n"), F.min(F.struct("tkey", "a", "lo", "hi")).alias("one")
-            ),
-            "contexts",
-        )
-        size = F.sum(F.col("one.hi") - F.col("one.lo") + length)
-        hot = materialize(kinds.groupBy("key").agg(size.alias("size")).where(F.col("size") > group_bytes).select("key"), "hot")
-        twice = found.join(kinds.where("n > 1").select("key", "ctx"), ["key", "ctx"])
-        spans.append(twice.select("tkey", F.col("lo").alias("s"), (F.col("hi") + length).alias("e")))
+        one = F.min(F.struct("tkey", "off", "span", F.col("los")[0].alias("lo")))
+        kinds = materialize(found.groupBy("key", "ctx").agg(many.alias("n"), one.alias("one")), "contexts")
+        size = F.sum(F.col("one.span") + length)
+        hot = kinds.groupBy("key").agg(size.alias("size")).where(F.col("size") > group_bytes)
+        hot = materialize(hot.select("key"), "hot")
+        twice = kinds.where("n > 1").select("key", "ctx")
+        spans.append(found.join(twice, ["key", "ctx"]).select("tkey", "los", *whole))
         if step is None:
             break
         places = (
             kinds.join(hot, "key", "left_anti")
             .select("key", "ctx", "one.*")
             .groupBy("tkey")
-            .agg(F.collect_list(F.struct("key", "ctx", "a", "lo", "hi")).alias("places"))
+            .agg(F.collect_list(F.struct("key", "ctx", "span", "lo")).alias("places"))
         )
         flags = (
             once.join(places, "tkey")
             .select(TEXT, "places")
-            .mapInArrow(_contexts(length), "key long, ctx long, a int, lo int, data binary")
+            .mapInArrow(_contexts(length), "key long, ctx long, data binary")
             .repartition("key")
             .sortWithinPartitions("key", "ctx")
             .mapInArrow(_compare(length, block_bytes), "key long, ctx long, s int, e int")
         )
-        flags = materialize(flags, "flags")
-        spans.append(
-            found.join(flags, ["key", "ctx"]).select("tkey", (F.col("a") + F.col("s")).alias("s"), (F.col("a") + F.col("e")).alias("e"))
-        )
+        spans.append(found.join(materialize(flags, "flags"), ["key", "ctx"]).select("tkey", "los", "s", "e"))
         if hot.isEmpty():
             break
         places = (
             found.join(hot, "key", "left_semi")
             .groupBy("tkey")
-            .agg(F.collect_set(F.struct("key", "a", "lo", "hi")).alias("places"))
-        )
-        rows = once.join(places, "tkey").select(TEXT, "tkey", "places").mapInArrow(
-            _finer_level(length, gram, step), OCCURRENCE
+            .agg(F.collect_set(F.struct("key", "off", "span", "los")).alias("places"))
         )
+        rows = once.join(places, "tkey").select(TEXT, "tkey", "places")
+        rows = rows.mapInArrow(_finer_level(length, gram, step), OCCURRENCE)
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
-    return materialize(every.groupBy("tkey").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
+    return materialize(every.groupBy("tkey").agg(F.collect_set(F.struct("los", "s", "e")).alias("spans")), "spans")
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+    """Spans (los, s, e) as sorted (start, end) that neither overlap nor touch."""
     out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in spans or ()):
+    for s, e in sorted((lo + x["s"], lo + x["e"]) for x in spans or () for lo in x["los"]):
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
@@ -439,7 +419,9 @@ def remove_repeats(
     rows = with_row(docs, text_col, text_key(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("tkey"))
     long = rows.where(F.length(TEXT) >= length).select("tkey", TEXT)
     found = repeated(long, length)
-    joined = rows.join(found, "tkey", "left").select(ROW, TEXT, "spans")
+    # The text goes through the shuffle once, inside the row.
+    joined = rows.select(ROW, "tkey").join(found, "tkey", "left")
+    joined = joined.select(ROW, F.col(f"{ROW}.`{text_col}`").cast("binary").alias(TEXT), "spans")
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
