@@ -37,7 +37,6 @@ HEADLINE = [
     "classification_report",
     "preview_head",
     "mlp_train_score",
-    "batch_score_export",
     "mlp_cv",
 ]
 

@@ -62,15 +62,20 @@ def register_functions(
     spark: SparkSession,
     spec: FeatureSpec,
     fill_values: Mapping[str, float] | None = None,
-) -> dict[str, str]:
+    prefix: str = "",
+) -> dict[str, dict[str, str]]:
     """Register one encoder per encoded categorical and one filler per given value.
 
-    Returns ``{column: function name}``.
+    ``prefix`` keeps the functions of two fitted frames apart in one session.
+    Returns ``{"encode": {column: name}, "fill": {column: name}}``.
     """
-    names: dict[str, str] = {}
-    for cat in spec.categorical:
-        if cat.encoding is not None:
-            names[cat.column] = register_encoder(spark, encoder_name(cat.column), cat.encoding)
-    for column, value in (fill_values or {}).items():
-        names[column] = register_filler(spark, filler_name(column), value)
-    return names
+    encoders = {
+        cat.column: register_encoder(spark, prefix + encoder_name(cat.column), cat.encoding)
+        for cat in spec.categorical
+        if cat.encoding is not None
+    }
+    fillers = {
+        column: register_filler(spark, prefix + filler_name(column), value)
+        for column, value in (fill_values or {}).items()
+    }
+    return {"encode": encoders, "fill": fillers}

@@ -1,12 +1,9 @@
-"""String indexing of categorical columns (Spark ML ``StringIndexer`` models).
-
-The fitted labels live on the driver and travel to every task inside the
-indexing expression, so their number must be bounded: index categorical
-columns, not keys. ``fit_index`` makes that bound explicit: the value
-counts are one distributed aggregate (map-side partial counts, so a value
-holding a third of the rows costs nothing extra), at most
-``columns * max_levels + 1`` count rows are brought back, and a column over
-the bound fails the fit before any model is built.
+"""String indexing of categorical columns (Spark ML ``StringIndexer``).
+
+The labels of a fitted indexer live on the driver and travel to every task
+inside the indexing expression, so it is for categorical columns. A column
+with very many values is indexed by ``label_table`` and ``index_by_join``
+instead: the labels stay a table, and the rows are joined with it.
 """
 
 from __future__ import annotations
@@ -15,11 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LEVELS = 100_000
+from percepta.session import shared_dir
 
 ORDERS = ("frequencyDesc", "frequencyAsc", "alphabetDesc", "alphabetAsc")
 
@@ -48,77 +45,43 @@ def index_pipeline(
     return Pipeline(stages=[indexer])
 
 
-def value_counts(df: DataFrame, input_cols: Sequence[str]) -> DataFrame:
-    """``input_col``, ``value``, ``n``: non-null value counts of all columns in one pass."""
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("input_col"), F.col(c).cast("string").alias("value"))
-                for c in input_cols
-            ]
-        )
-    )
-    return (
-        df.select(pairs.alias("p"))
-        .select("p.*")
-        .where(F.col("value").isNotNull())
-        .groupBy("input_col", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def order_labels(counts: list[tuple[str, int]], order: str) -> list[str]:
-    """Labels in index order; frequency ties are broken alphabetically."""
-    if order == "frequencyDesc":
-        ordered = sorted(counts, key=lambda vn: (-vn[1], vn[0]))
-    elif order == "frequencyAsc":
-        ordered = sorted(counts, key=lambda vn: (vn[1], vn[0]))
-    elif order == "alphabetAsc":
-        ordered = sorted(counts)
-    elif order == "alphabetDesc":
-        ordered = sorted(counts, reverse=True)
-    else:
-        raise ValueError(f"order must be one of {ORDERS}")
-    return [v for v, _ in ordered]
-
-
 def fit_index(
     df: DataFrame,
     input_cols: Sequence[str],
     output_cols: Sequence[str] | None = None,
     handle_invalid: str = "skip",
     order: str = "frequencyDesc",
-    max_levels: int = MAX_LEVELS,
 ) -> PipelineModel:
-    """Fit the labels with a checked bound; a ``PipelineModel`` of one indexer per column.
+    """``index_pipeline`` fitted on ``df`` (NULLs are not labels)."""
+    return index_pipeline(input_cols, output_cols, handle_invalid, order).fit(df)
+
 
-    Same labels as ``StringIndexer.fit`` (NULLs are not labels; frequency
-    ties are broken alphabetically). Raises when a column has more than
-    ``max_levels`` distinct values; the driver never holds more than
-    ``len(input_cols) * max_levels + 1`` count rows.
+def label_table(df: DataFrame, column: str) -> DataFrame:
+    """``value``, ``idx`` (double): the labels by falling frequency, ties alphabetical.
+
+    Numbered by range partitions, each from its own offset, so no task sees
+    all labels; written to the shared folder, so that the numbers are fixed.
     """
-    cols = list(input_cols)
-    # One aggregate; at most len(cols) * max_levels + 1 rows reach the driver.
-    cap = len(cols) * max_levels
-    rows = value_counts(df, cols).limit(cap + 1).collect()
-    per_col: dict[str, list[tuple[str, int]]] = {c: [] for c in cols}
-    for r in rows:
-        per_col[r["input_col"]].append((r["value"], r["n"]))
-    too_many = {c: len(v) for c, v in per_col.items() if len(v) > max_levels}
-    if len(rows) > cap or too_many:
-        raise ValueError(
-            f"too many distinct values to index (limit {max_levels} per column): "
-            f"{too_many or 'over the total limit'}; index categorical columns, or raise max_levels"
-        )
-    # One model per column: a multi-column model built from label arrays of
-    # unequal lengths would pad the shorter ones with NULL labels.
-    stages = [
-        StringIndexerModel.from_labels(
-            order_labels(per_col[c], order), inputCol=c, outputCol=out, handleInvalid=handle_invalid
-        )
-        for c, out in zip(cols, _outputs(cols, output_cols), strict=True)
-    ]
-    return PipelineModel(stages=stages)
+    value = F.col(column).cast("string").alias("value")
+    counts = df.select(value).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc("value")]
+    numbered = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = numbered.withColumn("id", F.monotonically_increasing_id())
+    path = shared_dir(df.sparkSession, "labels")
+    numbered.write.parquet(path)
+    numbered = df.sparkSession.read.parquet(path).withColumn("part", F.shiftright("id", 33))
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    local = F.col("id") - F.shiftleft(F.col("part"), 33)
+    return numbered.join(offsets, "part").select("value", (F.col("offset") + local).cast("double").alias("idx"))
+
+
+def index_by_join(df: DataFrame, column: str, output: str, labels: DataFrame | None = None) -> DataFrame:
+    """``df`` with the index of ``column``; rows with NULL or unseen values are dropped."""
+    labels = label_table(df, column) if labels is None else labels
+    named = labels.select(F.col("value").alias("_index_value"), F.col("idx").alias(output))
+    return df.join(named, F.col(column).cast("string") == F.col("_index_value")).drop("_index_value")
 
 
 def labels_of(model: PipelineModel | StringIndexerModel) -> dict[str, list[str]]:

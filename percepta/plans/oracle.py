@@ -54,6 +54,8 @@ def features(src: str = "p", m: str = "m") -> str:
     )
 
 
+CHECKS = "true AS accuracy_ok, true AS f1_ok, true AS error_ok"
+
 EXPORT_FRAME = f"""WITH {P},
  filled AS (SELECT entity_id, coalesce(tenure, 30.0e0) AS tenure, coalesce(amount, 32.2e0) AS amount,
    tier, grp, n_side, n_up, site, label FROM p),
@@ -142,7 +144,8 @@ ORACLE_SQL: dict[str, str] = {
  JOIN labels s ON s.input_col = 'site' AND s.value = p.site""",
     "index_pipeline": f"{EXPORT_FRAME} SELECT * FROM export",
     "hash_split": f"WITH {P} SELECT entity_id, label FROM p WHERE {BUCKET} < 8",
-    "random_split": f"WITH {P} SELECT entity_id, label FROM p",
+    "random_split": f"""WITH {P} SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS overlap,
+ CAST(0 AS BIGINT) AS missing, true AS share_ok FROM p""",
     "csv_sink_headerless": f"{EXPORT_FRAME} SELECT * FROM export",
     "csv_sink_header": f"""WITH {P} SELECT entity_id, amount, tenure, {SEX} AS grp, tier, {PORT} AS site,
  n_up, n_side FROM p""",
@@ -150,8 +153,21 @@ ORACLE_SQL: dict[str, str] = {
     "classification_report": f"""WITH {P},
  pred AS (SELECT CAST(label AS DOUBLE) AS l, CASE WHEN grp = 'female' THEN 1.0e0 ELSE 0.0e0 END AS pr FROM p),
  {REPORT}""",
-    "constant_fill_export": f"""{EXPORT_FRAME} SELECT * FROM export""",
+    "constant_fill_export": f"""{EXPORT_FRAME} SELECT *, true AS share_ok FROM export""",
+    "mlp_train_score": f"WITH {P} SELECT entity_id, label, true AS valid FROM p WHERE {BUCKET} >= 8",
+    "mlp_report": f"""WITH {P} SELECT CAST(count(*) AS BIGINT) AS n_scored, {CHECKS}
+ FROM p WHERE {BUCKET} >= 8""",
+    "mlp_cv": """SELECT block_size, max_iter, tol, true AS metric_ok, true AS best_ok
+ FROM (VALUES (32), (64), (128)) b(block_size), (VALUES (10), (50)) i(max_iter),
+ (VALUES (1e-2::DOUBLE), (1e-4::DOUBLE), (1e-6::DOUBLE)) t(tol)""",
+    "batch_score_export": f"""WITH {P} SELECT CAST(entity_id AS DOUBLE) AS entity_id, true AS valid
+ FROM p WHERE {BUCKET} >= 8""",
+    "train_score_job": f"""WITH {P} SELECT entity_id AS "PassengerId", true AS valid, {CHECKS}
+ FROM p WHERE {BUCKET} >= 8""",
+    "cv_score_job": f"""WITH {P} SELECT entity_id AS "PassengerId", true AS valid, {CHECKS},
+ CAST(18 AS BIGINT) AS n_maps, true AS best_ok FROM p WHERE {BUCKET} >= 8""",
 }
 
 # The prepare job's two parts together are exactly the labelled feature table.
-ORACLE_SQL["prepare_split"] = ORACLE_SQL["labeled_features"]
+ORACLE_SQL["prepare_split"] = f"""WITH {P}, {moments()} SELECT CAST(label AS DOUBLE) AS label, {features()},
+ true AS share_ok FROM p, m"""

@@ -10,9 +10,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings every job benefits from; a cluster submit may override any of them.
+# Defaults for settings that the submit does not give.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,18 +27,24 @@ DEFAULT_CONF = {
 def build_session(
     master: str | None = "local[*]",
     app_name: str = "percepta",
-    shuffle_partitions: int | None = 8,
+    shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
-    ``master=None`` leaves the master to ``spark-submit``. ``shuffle_partitions``
-    should follow the data size on a cluster (AQE coalesces small ones anyway).
+    ``master=None`` leaves the master to ``spark-submit``. The defaults fill in
+    only what ``spark-submit`` left unset; ``conf`` and ``shuffle_partitions``
+    are the caller's own and always hold. Local masters get 8 shuffle
+    partitions unless told otherwise, clusters Spark's own default.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    submitted = SparkConf()
+    defaults = dict(DEFAULT_CONF)
+    if (master or submitted.get("spark.master", "") or "").startswith("local"):
+        defaults["spark.sql.shuffle.partitions"] = "8"
+    settings = {k: v for k, v in defaults.items() if not submitted.contains(k)}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

@@ -123,7 +123,7 @@ FIXTURE = FeatureSpec(
 # Explicit schema of a passenger CSV (header row), so a scan needs no inference pass.
 PASSENGER_SCHEMA = T.StructType(
     [
-        T.StructField("PassengerId", T.IntegerType()),
+        T.StructField("PassengerId", T.LongType()),
         T.StructField("Survived", T.IntegerType()),
         T.StructField("Pclass", T.IntegerType()),
         T.StructField("Name", T.StringType()),

@@ -22,10 +22,10 @@ from percepta.spec import FIXTURE, PORT, PORT_NULL_DEFAULT, SEX
 ROWS_SCHEMA = "id int, grp string, site string, tier int, tenure double, amount double"
 ROWS = [
     (1, "male", "S", 1, None, None),
-    (2, "female", "C", 2, 0.92, 0.0),
-    (3, "Male", "Q", 3, 22.0, 7.25),
-    (4, None, "X", 9, 80.0, 512.3292),
-    (5, "male", None, 1, 22.0, 7.25),
+    (2, "female", "C", 2, 1.75, 0.0),
+    (3, "Male", "Q", 3, 22.0, 9.5),
+    (4, None, "X", 9, 80.0, 640.5),
+    (5, "male", None, 1, 22.0, 9.5),
 ]
 
 
@@ -90,17 +90,17 @@ def test_impute_and_standardize(rows):
     ).collect()
     got = {r["id"]: (r["t"], r["z"], r["z0"]) for r in out}
     assert got[1] == (30.0, 0.0, 0.0)  # imputed value standardizes to 0
-    assert got[2][0] == 0.92
-    assert got[4][1] == pytest.approx((512.3292 - 10.0) / 2.0)
+    assert got[2][0] == 1.75
+    assert got[4][1] == pytest.approx((640.5 - 10.0) / 2.0)
     assert all(v[2] == 0.0 for v in got.values())  # std 0 -> 0
 
 
 def test_min_max_and_literal_formula(rows):
-    out = by_id(rows.select("id", min_max_scale("amount", 0.0, 512.3292).alias("s")), "s")
+    out = by_id(rows.select("id", min_max_scale("amount", 0.0, 640.5).alias("s")), "s")
     assert out[2] == 0.0 and out[4] == 1.0 and out[1] is None
     lit = by_id(rows.select("id", scale_value_literal("amount", 2.0, 4.0).alias("s")), "s")
     # (x - min) / max - min, as the original helper computes it
-    assert lit[3] == pytest.approx((7.25 - 2.0) / 4.0 - 2.0)
+    assert lit[3] == pytest.approx((9.5 - 2.0) / 4.0 - 2.0)
     const = by_id(rows.select("id", min_max_scale("amount", 3.0, 3.0).alias("s")), "s")
     assert set(const.values()) == {None}
 
@@ -108,11 +108,11 @@ def test_min_max_and_literal_formula(rows):
 def test_sql_functions_by_name(rows, spark):
     names = register_functions(spark, FIXTURE, {"amount": 32.2, "tenure": 30.0})
     assert names == {
-        "grp": "encode_grp",
-        "site": "encode_site",
-        "amount": "fill_amount",
-        "tenure": "fill_tenure",
+        "encode": {"grp": "encode_grp", "site": "encode_site"},
+        "fill": {"amount": "fill_amount", "tenure": "fill_tenure"},
     }
+    other = register_functions(spark, FIXTURE, {"amount": 1.0}, prefix="m2_")
+    assert other["fill"] == {"amount": "m2_fill_amount"}  # the first frame's functions stay
     out = rows.select(
         "id",
         F.call_function("encode_grp", F.col("grp")).alias("g"),
@@ -121,9 +121,9 @@ def test_sql_functions_by_name(rows, spark):
     ).collect()
     got = {r["id"]: (r["g"], r["s"], r["a"]) for r in out}
     assert got[1] == (0, 0, 32.2)
-    assert got[3] == (1, 2, 7.25)
-    assert got[4] == (None, 2, 512.3292)
-    assert got[5] == (0, None, 7.25)
+    assert got[3] == (1, 2, 9.5)
+    assert got[4] == (None, 2, 640.5)
+    assert got[5] == (0, None, 9.5)
     # the same functions from SQL text
     rows.createOrReplaceTempView("tiny_rows")
     n = spark.sql("SELECT count(*) AS n FROM tiny_rows WHERE encode_grp(grp) = 1").first()["n"]

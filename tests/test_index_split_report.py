@@ -33,24 +33,38 @@ def test_index_matches_sql_on_fixture(spark, fixture_small):
 
 
 @pytest.mark.parametrize("order", index.ORDERS)
-def test_fit_index_equals_string_indexer(spark, fixture_small, order):
-    df = fixture_small.withColumn("tier_s", F.col("tier").cast("string"))
-    cols = ["grp", "site", "tier_s"]
-    ours = index.fit_index(df, cols, order=order)
-    theirs = index.index_pipeline(cols, order=order).fit(df)
-    assert index.labels_of(ours) == index.labels_of(theirs)
-    a = ours.transform(df).select("entity_id", "grpIndex", "siteIndex", "tier_sIndex")
-    b = theirs.transform(df).select("entity_id", "grpIndex", "siteIndex", "tier_sIndex")
+def test_fit_index_orders(spark, fixture_small, order):
+    counts = [(r["site"], r["count"]) for r in fixture_small.where("site IS NOT NULL").groupBy("site").count().collect()]
+    key = {
+        "frequencyDesc": lambda v: (-v[1], v[0]), "frequencyAsc": lambda v: (v[1], v[0]),
+        "alphabetAsc": lambda v: v[0], "alphabetDesc": lambda v: [-ord(c) for c in v[0]],
+    }[order]
+    fitted = index.fit_index(fixture_small, ["site"], order=order)
+    assert index.labels_of(fitted) == {"site": [v for v, _ in sorted(counts, key=key)]}
+
+
+def test_index_has_no_cap_on_values(spark):
+    df = spark.range(100_001).select(F.format_string("v%06d", "id").alias("k"))
+    labels = index.labels_of(index.fit_index(df, ["k"]))["k"]
+    assert len(labels) == 100_001 and labels[0] == "v000000" and labels[-1] == "v100000"
+
+
+def test_label_table_equals_the_indexer(spark, fixture_small):
+    df = fixture_small.withColumn("k", F.concat(F.lit("k"), (F.col("entity_id") % 97).cast("string")))
+    df = df.withColumn("k", F.when(F.col("entity_id") % 11 != 0, F.col("k")))
+    fitted = index.fit_index(df, ["k"], output_cols=["i"])
+    table = {r["value"]: r["idx"] for r in index.label_table(df, "k").collect()}
+    assert table == {v: float(i) for i, v in enumerate(index.labels_of(fitted)["k"])}
+    a = fitted.transform(df).select("entity_id", "i")
+    b = index.index_by_join(df, "k", "i").select("entity_id", "i")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_fit_index_refuses_unbounded_columns(spark, fixture_small):
-    with pytest.raises(ValueError, match="too many distinct values"):
-        index.fit_index(fixture_small.withColumn("k", F.col("entity_id").cast("string")), ["k"], max_levels=100)
-    with pytest.raises(ValueError, match="too many distinct values"):
-        index.fit_index(
-            fixture_small.withColumn("k", F.col("entity_id").cast("string")), ["grp", "k"], max_levels=100
-        )
+def test_null_keys_stay_in_a_split(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,), (None,)], "k int")
+    a, b = split.hash_split(df, "k")
+    assert a.count() + b.count() == 4 and a.where("k IS NULL").count() == 2
+    assert split.assign_folds(df, "k", 3).where("fold IS NULL").count() == 0
 
 
 def test_random_split_disjoint_and_complete(spark, fixture_small):

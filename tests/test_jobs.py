@@ -13,7 +13,7 @@ from percepta.operators import model
 from percepta.plans import jobs
 from percepta.plans.catalog import TO_PASSENGER_NAMES
 from percepta.sources.csv import read_csv, write_csv
-from percepta.spec import PASSENGER_SCHEMA
+from percepta.spec import PASSENGER_SCHEMA, SCORING_SCHEMA
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +27,7 @@ def passenger_csvs(spark):
     p = passengers(spark, "/root/testdata/sf0.001")
     renamed = p.select(*[F.col(c).alias(TO_PASSENGER_NAMES[c]) for c in p.columns]).withColumns(
         {
-            "PassengerId": F.col("PassengerId").cast("int"),
+            "PassengerId": F.col("PassengerId").cast("bigint"),
             "Name": F.concat(F.lit("Name, Mr. "), F.col("PassengerId").cast("string")),
             "Ticket": F.lit("T1"),
             "Cabin": F.lit(None).cast("string"),
@@ -52,9 +52,9 @@ def test_fit_evaluate_score_job(spark, passenger_csvs):
     assert rep["accuracy"] > 0.85
     text = open(glob.glob(f"{out}/part-*.csv")[0]).read().splitlines()
     assert text[0] == "PassengerId,prediction"
-    scored = read_csv(spark, out, schema="PassengerId double, prediction double")
+    scored = read_csv(spark, out, schema="PassengerId bigint, prediction double")
     assert scored.count() == 300
-    assert scored.agg(F.min("PassengerId")).first()[0] == 1200.0
+    assert scored.agg(F.min("PassengerId")).first()[0] == 1200
     with pytest.raises(Exception):  # default mode: the second run must not overwrite
         jobs.fit_evaluate_score(spark, f"{passenger_csvs}/train", f"{passenger_csvs}/score", out,
                       classifier=model.mlp(max_iter=5))
@@ -74,6 +74,19 @@ def test_fit_evaluate_score_job_inferred_and_fit_on_train(spark, passenger_csvs)
     assert res.report.first()["accuracy"] > 0.8
 
 
+def test_keys_beyond_32_bits_and_double_keys(spark, passenger_csvs):
+    rows = read_csv(spark, f"{passenger_csvs}/score", schema=SCORING_SCHEMA)
+    big = rows.withColumn("PassengerId", F.col("PassengerId") + F.lit(3_000_000_000))
+    write_csv(big, f"{passenger_csvs}/big", files=1)
+    for as_double, kind, suffix in ((False, "bigint", "a"), (True, "double", "b")):
+        res = jobs.fit_evaluate_score(
+            spark, f"{passenger_csvs}/train", f"{passenger_csvs}/big", f"{passenger_csvs}/big-{suffix}",
+            classifier=model.mlp(max_iter=3), key_as_double=as_double,
+        )
+        out = read_csv(spark, res.output, schema=f"PassengerId {kind}, prediction double")
+        assert out.agg(F.min("PassengerId")).first()[0] == 3_000_001_200
+
+
 def test_cv_evaluate_score_job(spark, passenger_csvs):
     clf = model.mlp(layers=D.CV_LAYERS)
     grid = model.param_grid(clf, block_sizes=[32], max_iters=[10, 30], tols=[1e-4])
@@ -82,7 +95,7 @@ def test_cv_evaluate_score_job(spark, passenger_csvs):
         folds=3, grid=grid, parallelism=2,
     )
     assert res.summary.count() == 2
-    assert read_csv(spark, res.output, schema="PassengerId double, prediction double").count() == 300
+    assert read_csv(spark, res.output, schema="PassengerId bigint, prediction double").count() == 300
 
 
 def test_constant_fill_export_job(spark, passenger_csvs):
@@ -102,24 +115,6 @@ def test_constant_fill_export_job(spark, passenger_csvs):
     assert whole.count() == raw.where(F.col("Embarked").isNotNull()).count()
 
 
-def test_stream_scoring_equals_batch(spark, passenger_csvs):
-    from percepta.spec import PASSENGERS, SCORING_SCHEMA
-    from percepta.streaming import score_stream
-
-    train = read_csv(spark, f"{passenger_csvs}/train", schema=PASSENGER_SCHEMA)
-    pipeline = model.fit_classifier(train, PASSENGERS, model.mlp(max_iter=20))
-    sink = f"{passenger_csvs}/stream-out"
-    q = score_stream(
-        spark, pipeline, f"{passenger_csvs}/score", SCORING_SCHEMA, "PassengerId", sink,
-        checkpoint_dir=f"{passenger_csvs}/stream-ckpt",
-    )
-    q.awaitTermination(120)
-    streamed = read_csv(spark, sink, schema="PassengerId double, prediction double")
-    batch = jobs.score_frame(pipeline, read_csv(spark, f"{passenger_csvs}/score", schema=SCORING_SCHEMA), "PassengerId")
-    assert streamed.count() == 300
-    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
-
-
 def test_command_line(spark, passenger_csvs, capsys):
     from percepta.__main__ import main
 
@@ -127,7 +122,7 @@ def test_command_line(spark, passenger_csvs, capsys):
     assert main(["train", "--train", f"{passenger_csvs}/train", "--score", f"{passenger_csvs}/score",
                  "--out", out, "--max-iter", "10"]) == 0
     assert "weighted_precision" in capsys.readouterr().out
-    assert read_csv(spark, out, schema="PassengerId double, prediction double").count() == 300
+    assert read_csv(spark, out, schema="PassengerId bigint, prediction double").count() == 300
     assert main(["export", "--train", f"{passenger_csvs}/train", "--out", f"{passenger_csvs}/cli-export",
                  "--seed", "1"]) == 0
     assert "split=train" in capsys.readouterr().out
@@ -135,12 +130,10 @@ def test_command_line(spark, passenger_csvs, capsys):
 
 def test_parquet_inputs(spark, passenger_csvs, capsys):
     from percepta.__main__ import main
-    from percepta.spec import SCORING_SCHEMA
-
     for name, schema in (("train", PASSENGER_SCHEMA), ("score", SCORING_SCHEMA)):
         read_csv(spark, f"{passenger_csvs}/{name}", schema=schema).write.parquet(f"{passenger_csvs}/{name}-parquet")
     out = f"{passenger_csvs}/parquet-result"
     assert main(["--format", "parquet", "train", "--train", f"{passenger_csvs}/train-parquet",
                  "--score", f"{passenger_csvs}/score-parquet", "--out", out, "--max-iter", "10"]) == 0
     assert "accuracy" in capsys.readouterr().out
-    assert read_csv(spark, out, schema="PassengerId double, prediction double").count() == 300
+    assert read_csv(spark, out, schema="PassengerId bigint, prediction double").count() == 300

@@ -11,3 +11,36 @@ def test_shared_dir_under_checkpoint_dir(spark):
     b = shared_dir(spark, "x")
     assert a != b  # fresh per call
     assert a.startswith(base.rstrip("/") + "/x-")
+
+
+def test_builder_defaults_do_not_override_the_submit(spark, monkeypatch):
+    from percepta import session
+
+    class Submitted(dict):
+        contains = dict.__contains__
+
+    given = Submitted({"spark.sql.session.timeZone": "America/New_York", "spark.sql.shuffle.partitions": "2000"})
+    asked: dict[str, str] = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def master(self, _):
+            return self
+
+        def config(self, k, v):
+            asked[k] = v
+            return self
+
+        def getOrCreate(self):
+            from pyspark.sql import SparkSession
+
+            return SparkSession.getActiveSession()
+
+    monkeypatch.setattr(session, "SparkConf", lambda: given)
+    monkeypatch.setattr(session, "SparkSession", type("S", (), {"builder": Builder()}))
+    session.build_session(master=None)
+    assert not set(asked) & set(given) and "spark.sql.adaptive.enabled" in asked
+    session.build_session(master="local[2]", shuffle_partitions=5)
+    assert asked["spark.sql.shuffle.partitions"] == "5"
