@@ -249,12 +249,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         # Large star: greater neighbours go to the least of the neighbourhood.
         both = links.union(links.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = materialize(large.where("a <> b").distinct(), name)
         # Small star: lesser neighbours, and the node, go to the least of them.
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(down.groupBy("u").agg(F.min("v").alias("m")), name)
         small_star = (
             down.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
             .union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
@@ -348,7 +348,9 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
     texts = materialize(texts.withColumn("uid", F.monotonically_increasing_id()), "bands")
     banded = texts.select("uid", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("uid").alias("first"), F.count(F.lit(1)).alias("n"))
-    members = materialize(banded.join(shared.where("n > 1"), "band"), "members")
+    # A plain table on this side lets the join split a hot band.
+    shared = materialize(shared.where("n > 1"), "shared")
+    members = materialize(banded.join(shared, "band"), "members")
     needed = texts.select("tkey", "uid").join(members.select("uid").distinct(), "uid")
     once = rows.groupBy("tkey").agg(F.first(TEXT).alias(TEXT))
     sets = materialize(_shingles(once.join(needed, "tkey"), keep=("uid",)), "shingles")
@@ -359,6 +361,7 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
     known = members.select("band", "uid", "n").join(comp, "uid", "left")
     known = known.withColumn("comp", F.coalesce("comp", "uid"))
     open_bands = known.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
+    open_bands = materialize(open_bands, "open")
     parts = F.ceil(F.col("n") / BLOCK_TEXTS).cast("long")
     left = known.join(open_bands, "band").withColumn("parts", parts)
     left = left.withColumn("mine", F.pmod(F.xxhash64("uid"), F.col("parts")))
@@ -399,7 +402,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tagged = materialize(tagged.select("id", "at", "class"), "tagged")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("at").alias("at"))
     heads = tagged.groupBy("class").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("class_size"))
-    return tagged.join(heads, "class").select(
+    return tagged.join(materialize(heads, "heads"), "class").select(
         "id", F.col("head.id").alias("class_id"), "class_size", (F.col("at") == F.col("head.at")).alias("is_first")
     )
 
