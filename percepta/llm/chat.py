@@ -217,7 +217,8 @@ def pack_conversations(turns: DataFrame, most: int = PACK) -> DataFrame:
     )
     convs = materialize(formatted.withColumn("uid", F.monotonically_increasing_id()), "conversations")
     nodes = convs.select("uid", F.posexplode("path").alias("depth", "node"))
-    counts = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    # A plain table on this side lets the join split a hot first turn.
+    counts = materialize(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "counts")
     last = F.max(F.struct("depth", "node", "n"))
     fits = F.min(F.when(F.col("n") <= most, F.struct("depth", "node")))
     chosen = nodes.join(counts, "node").groupBy("uid").agg(last.alias("last"), fits.alias("fits"))
