@@ -128,10 +128,11 @@ def mix(
     sources = sources.withColumn("room", room.cast("long")).withColumnRenamed("source", "of")
     same = F.col("source").eqNullSafe(F.col("of"))
     rows = sized.join(sources, same).drop("of").withColumn("zero", F.lit(0).cast("long"))
-    first = _border(rows, F.substring("hash", 1, 3), "zero").toDF("of", "bin1", "before1")
+    # One row for each source: written, so that its size is known to the join.
+    first = materialize(_border(rows, F.substring("hash", 1, 3), "zero"), "bins").toDF("of", "bin1", "before1")
     rows = rows.join(first, same, "left").drop("of")
     inside = rows.where(F.substring("hash", 1, 3) == F.col("bin1"))
-    second = _border(inside, F.substring("hash", 4, 3), "before1").toDF("of", "bin2", "before2")
+    second = materialize(_border(inside, F.substring("hash", 4, 3), "before1"), "bins").toDF("of", "bin2", "before2")
     rows = rows.join(second, same, "left").drop("of")
     place = F.struct(F.substring("hash", 1, 3), F.substring("hash", 4, 3))
     border = F.struct(F.col("bin1"), F.col("bin2"))
