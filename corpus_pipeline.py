@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from percepta.llm import dartminhash, decontam, mixing, ranking, repeats
-from percepta.llm.common import ROW, materialize
+from percepta.llm.common import ROW, importable, materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -30,6 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near and exact copies."""
+    importable(spark)
     return dartminhash.drop_near_duplicates(docs)
 
 
@@ -39,6 +41,7 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     What is left of characters that were cut goes too; ``n_chars`` is the
     length of the text that remains; null texts stay null.
     """
+    importable(spark)
     found = repeats.remove_repeats(docs, as_text=True)
     cut = F.col("n_removed") > 0
     new = F.when(cut, F.col("kept")).otherwise(F.col(f"{ROW}.text"))

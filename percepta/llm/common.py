@@ -8,10 +8,11 @@ along as one struct, so no column name can clash) or key by the text itself
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,19 @@ PLAIN_WORDS = bytes(
 )
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where the driver found it by its own ``sys.path`` (a local session
+    started elsewhere); on a cluster, ship it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def plain_words(text: bytes | None) -> list[bytes]:
     return text.translate(PLAIN_WORDS).split() if text else []
 

@@ -18,9 +18,11 @@ from percepta.llm import (
     tokencount,
     urlfilter,
 )
+from percepta.llm.common import importable
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
