@@ -9,10 +9,13 @@ further cut between characters that are neighbours in no piece, so that no
 merge can cross) lie in one flat array of symbols with the number of their
 sequence. In every round each sequence finds the best rank among its pairs and
 merges at it, all sequences at once; sequences without a pair drop out, and
-what is left of them is counted. Within a long sequence all places of the
-best rank merge in the same round if they lie so far apart that no later
-merge can reach from one to the next, else the leftmost goes first, which is
-the order of one merge at a time.
+what is left of them is counted. Within a sequence all places of the best rank
+merge in the same round, of overlapping ones every other one from the left. A
+merge that makes a pair of no worse rank than its own ends the round for the
+places behind it, unless they lie so far away that no later merge can reach
+them. Where all pairs of a sequence have the worst rank of the model (in runs of
+spaces), they merge from left to right in one pass. So the order is that of one
+merge at a time, and a run of one character, of any length, takes a few rounds.
 
 Scale: one narrow stage; a batch's distinct pre-tokens and a bounded cache
 of counts are all it holds.
@@ -70,6 +73,7 @@ class PieceTable:
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], dtype=np.int64)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], dtype=np.int64)
+        self.pairs, self.worst = pairs, int(self.ranks.max())
         self.glue = np.array(sorted(glue), dtype=np.int64)
         # Two-choice lookup: a table by hashed key, and the sorted keys where two keys share a slot.
         self.bits = max(16, int(np.ceil(np.log2(max(len(self.keys), 1) * 16))))
@@ -92,6 +96,54 @@ class PieceTable:
                 out[odd] = np.where(self.keys[k] == keys[odd], k, -1)
         return out
 
+    def _together(self, at, symbol, run, best, made) -> np.ndarray:
+        """Which of the best places ``at`` (sorted, to become ``made``) merge in one round."""
+        step = np.diff(at)
+        far = np.ones(len(at), dtype=bool)
+        far[1:] = (run[at[1:]] != run[at[:-1]]) | (step > 2 * self.longest)
+        if far.all():
+            return np.arange(len(at))
+        # Of pairs that overlap, every other one from the left.
+        place = np.arange(len(at))
+        begins = np.concatenate([[True], step > 1])
+        taken = np.flatnonzero((place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0)
+        at, made, far = at[taken], made[taken], far[taken]
+        # The neighbours at the time of the merge: what is left of the place has merged by then.
+        left, right = np.maximum(at - 1, 0), np.minimum(at + 2, len(symbol) - 1)
+        before = symbol[left]
+        follows = np.flatnonzero(np.diff(at) == 2) + 1
+        before[follows] = made[follows - 1]
+        goes_first = (run[left] == run[at]) & (at > 0) & (self._rank(before, made) <= best[at])
+        goes_first |= (run[right] == run[at]) & (right == at + 2) & (self._rank(made, symbol[right]) <= best[at])
+        # A new pair that goes before the other places ends the round for those near to it.
+        earlier = np.cumsum(goes_first) - goes_first
+        return taken[earlier == earlier[far][np.cumsum(far) - 1]]
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        index = self.find(left * self.size + right)
+        return np.where(index >= 0, self.ranks[index], _NONE)
+
+    def _left_to_right(self, symbols: list[int]) -> int:
+        """The number of symbols left of a sequence whose pairs all have the worst rank."""
+        pairs, size = self.pairs.get, self.size
+        out: list[int] = []
+        k = 0
+        while k < len(symbols):
+            now, k, merged = symbols[k], k + 1, False
+            while True:
+                back = pairs(out[-1] * size + now) if out else None
+                ahead = pairs(now * size + symbols[k]) if merged and k < len(symbols) else None
+                if back and not (ahead and ahead[0] < back[0]):
+                    now = back[1]
+                    out.pop()
+                elif ahead:
+                    now, k = ahead[1], k + 1
+                else:
+                    break
+                merged = True
+            out.append(now)
+        return len(out)
+
     def count(self, units: list[str]) -> np.ndarray:
         """The number of tokens of each pre-token."""
         code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -117,16 +169,16 @@ class PieceTable:
             rank[:-1][good] = self.ranks[index[good]]
             first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
             length = np.diff(np.append(first, len(run)))
-            best = np.repeat(np.minimum.reduceat(rank, first), length)
-            done = best == _NONE
-            if done.any():
-                total += np.bincount(owner[done], minlength=len(units))
+            least = np.minimum.reduceat(rank, first)
+            for k in np.flatnonzero(least == self.worst).tolist():
+                total[owner[first[k]]] += self._left_to_right(symbol[first[k] : first[k] + length[k]].tolist())
+            best = np.repeat(least, length)
+            total += np.bincount(owner[best == _NONE], minlength=len(units))
+            done = best >= self.worst
             at = np.flatnonzero((rank == best) & ~done)
             if not len(at):
                 break
-            lead = np.ones(len(at), dtype=bool)
-            lead[1:] = (run[at[1:]] != run[at[:-1]]) | (np.diff(at) > 2 * self.longest)
-            at = at[lead]
+            at = at[self._together(at, symbol, run, best, self.merged[index[at]])]
             symbol[at] = self.merged[index[at]]
             stay = ~done
             stay[at + 1] = False
@@ -162,9 +214,7 @@ class Counter:
 _COUNTERS: dict[str, Counter] = {}
 
 
-def count_tokens(
-    docs: DataFrame, model_path: str | None = None, text_col: str = "text", slice_bytes: int = 4 << 20
-) -> DataFrame:
+def count_tokens(docs: DataFrame, model_path: str | None = None, text_col: str = "text") -> DataFrame:
     """``__row``, n_bytes (UTF-8) and n_tokens of every document's whole text.
 
     ``model_path`` is a piece model file that every executor can read; unset,

@@ -49,6 +49,20 @@ def test_long_units_without_spaces(library, counter):
     assert counter.count([t.encode() for t in texts]) == [len(x) for x in library.encode(texts)]
 
 
+@pytest.mark.parametrize("unit", ["a", " ", "-", "ab", "- ", "the", "  x"])
+def test_very_long_runs(library, counter, unit):
+    """Rounds do not grow with the run: one merge a round would take hours here."""
+    text = unit * (300_000 // len(unit))
+    assert counter.count([text.encode()]) == [len(library.encode(text))]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "ab", " ", "-", "=", "th", "the", "in", "er", "é"]), st.integers(1, 40))))
+def test_runs_equal_the_library(library, counter, runs):
+    text = "".join(unit * n for unit, n in runs)
+    assert counter.count([text.encode()]) == [len(library.encode(text))]
+
+
 def test_operator(library, clash):
     rows = ODD + [(7, t) for t in CASES] + [(8, "long text " * 5000)]
     out = tokencount.token_report(clash(rows)).collect()
