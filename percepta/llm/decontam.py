@@ -18,6 +18,7 @@ what the one before wrote.
 
 from __future__ import annotations
 
+import uuid
 from itertools import repeat
 
 import numpy as np
@@ -194,7 +195,7 @@ def find_contamination(
     )
     for k in range(blocks):
         part = [(r.item, bytes(r.text)) for r in items.where(F.col("block") == k).collect()]
-        out = _scan(out, part, window, f"{spark.sparkContext.applicationId}-{id(part)}-{k}")
+        out = _scan(out, part, window, uuid.uuid4().hex)
         if k < blocks - 1:
             out = materialize(out, "decontam")
     return out.drop(TEXT)

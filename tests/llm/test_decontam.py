@@ -84,3 +84,11 @@ def test_drop_keeps_all_columns(spark, clash):
     kept = decontam.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def test_every_scan_has_its_own_tables(spark, documents):
+    """Workers keep tables between tasks; other benchmarks must not meet them."""
+    docs = documents([(k, f"some text with word{k} inside") for k in range(6)])
+    for k in range(6):
+        found = report(spark, docs, [(k, f"word{k} inside")])
+        assert [r[0] for r in found if r[2]] == [k]
