@@ -12,8 +12,9 @@ then all words are compared directly.
 Scale: the benchmark is cut into blocks of items of a bounded number of
 bytes; only one block at a time is brought to the driver and shipped to the
 tasks. The documents are scanned once per block in a narrow stage without
-any shuffle. Several blocks are scanned one after the other, each reading
-what the one before wrote.
+any shuffle. With several blocks the documents are written once, with a number
+for each row; each block reads only numbers and texts and writes only hits,
+which are joined to the documents at the end.
 """
 
 from __future__ import annotations
@@ -112,48 +113,62 @@ class TestStrings:
 _TABLES: dict[str, TestStrings] = {}
 
 
-def _scan(df: DataFrame, items: list[tuple[str, bytes]], window: int, name: str) -> DataFrame:
-    """Add the hits of one block of items to those in ``spans`` and ``items``."""
+def _hits(spans: np.ndarray, n_words: int) -> int:
+    """The words that the (start, end) rows of ``spans`` cover."""
+    edge = np.zeros(n_words + 1, dtype=np.int64)
+    np.add.at(edge, spans[:, 0], 1)
+    np.add.at(edge, spans[:, 1], -1)
+    return int((np.cumsum(edge) > 0).sum())
+
+
+FOUND = [
+    field("n_words", T.LongType()),
+    field("n_hit", T.LongType()),
+    field("spans", T.BinaryType()),
+    field("items", T.ArrayType(T.StringType())),
+]
+
+
+def _found(rows: list[tuple]) -> dict[str, pa.Array]:
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()))
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return {f.name: pa.array(c, t) for f, c, t in zip(FOUND, columns, kinds, strict=True)}
+
+
+def _scan(df: DataFrame, items: list[tuple[str, bytes]], window: int, keep: str) -> DataFrame:
+    """``keep`` and the ``FOUND`` columns of each text for one block of items."""
     shipped = df.sparkSession.sparkContext.broadcast(items)
+    name = uuid.uuid4().hex
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         if name not in _TABLES:
             _TABLES.clear()
             _TABLES[name] = TestStrings(shipped.value, window)
-        tables = _TABLES[name]
-        out = {"n_words": [], "n_hit": [], "spans": [], "items": []}
-        for text, spans, found in zip(
-            texts_of(batch), texts_of(batch, "spans"), texts_of(batch, "items"), strict=True
-        ):
+        tables, out = _TABLES[name], []
+        for text in texts_of(batch):
             words = plain_words(text)
-            more, of = tables.search(words)
-            have = np.frombuffer(spans, dtype="<i4").reshape(-1, 2)
-            if more:
-                have = np.concatenate([have, np.array(more, dtype="<i4").reshape(-1, 2)])
-            n_hit = 0
-            if len(have):
-                edge = np.zeros(len(words) + 1, dtype=np.int64)
-                np.add.at(edge, have[:, 0], 1)
-                np.add.at(edge, have[:, 1], -1)
-                n_hit = int((np.cumsum(edge) > 0).sum())
-            out["n_words"].append(len(words))
-            out["n_hit"].append(n_hit)
-            out["spans"].append(have.tobytes())
-            out["items"].append(sorted({*found, *(tables.names[k] for k in of)}))
-        return {
-            "n_words": pa.array(out["n_words"], pa.int64()),
-            "n_hit": pa.array(out["n_hit"], pa.int64()),
-            "spans": pa.array(out["spans"], pa.binary()),
-            "items": pa.array(out["items"], pa.list_(pa.string())),
-        }
-
-    fields = [
-        field("n_words", T.LongType()),
-        field("n_hit", T.LongType()),
-        field("spans", T.BinaryType()),
-        field("items", T.ArrayType(T.StringType())),
-    ]
-    return add_columns(df, compute, fields, keep=(ROW, TEXT))
+            places, of = tables.search(words)
+            spans = np.array(places, dtype="<i4").reshape(-1, 2)
+            n_hit = _hits(spans, len(words)) if places else 0
+            out.append((len(words), n_hit, spans.tobytes(), sorted(tables.names[k] for k in of)))
+        return _found(out)
+
+    return add_columns(df, compute, FOUND, keep=(keep,))
+
+
+def _combined(df: DataFrame) -> DataFrame:
+    """``__row`` and the ``FOUND`` columns of rows with the ``parts`` that the blocks found in each text."""
+
+    def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        out = []
+        for text, parts in zip(texts_of(batch), texts_of(batch, "parts"), strict=True):
+            n_words, parts = len(plain_words(text)), parts or []
+            spans = b"".join(p["spans"] for p in parts)
+            n_hit = _hits(np.frombuffer(spans, dtype="<i4").reshape(-1, 2), n_words) if spans else 0
+            out.append((n_words, n_hit, spans, sorted({i for p in parts for i in p["items"]})))
+        return _found(out)
+
+    return add_columns(df, compute, FOUND)
 
 
 def find_contamination(
@@ -176,7 +191,6 @@ def find_contamination(
     nothing; a null item id is the id ``null``; items that repeat count
     once; repeated documents are judged each; an empty benchmark hits nothing.
     """
-    spark = docs.sparkSession
     # The block of an item depends on its text and the total, which grows with the benchmark alone.
     items = benchmark.select(
         F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"),
@@ -187,18 +201,22 @@ def find_contamination(
     items = items.withColumn("block", F.pmod(F.xxhash64("text", "item"), F.lit(blocks)))
     if blocks > 1:
         items = materialize(items.repartition("block"), "benchmark")
-    out = with_row(
-        docs,
-        text_col,
-        F.lit(b"").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
+
+    def block(k: int) -> list[tuple[str, bytes]]:
+        return [(r.item, bytes(r.text)) for r in items.where(F.col("block") == k).collect()]
+
+    rows = with_row(docs, text_col)
+    if blocks == 1:
+        return _scan(rows, block(0), window, keep=ROW)
+    rows = materialize(rows.withColumn("rid", F.monotonically_increasing_id()), "documents")
+    texts = rows.select("rid", TEXT)
+    hits = None
     for k in range(blocks):
-        part = [(r.item, bytes(r.text)) for r in items.where(F.col("block") == k).collect()]
-        out = _scan(out, part, window, uuid.uuid4().hex)
-        if k < blocks - 1:
-            out = materialize(out, "decontam")
-    return out.drop(TEXT)
+        found = _scan(texts, block(k), window, keep="rid").where("n_hit > 0")
+        found = materialize(found.select("rid", F.struct("spans", "items").alias("part")), "hits")
+        hits = found if hits is None else hits.union(found)
+    parts = hits.groupBy("rid").agg(F.collect_list("part").alias("parts"))
+    return _combined(rows.join(parts, "rid", "left"))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
