@@ -17,16 +17,19 @@ Links are found by bands of the signature and decided on the shingle sets:
 2. bands shared by two texts or more: each text is compared with the least
    text of its band, and the links' connected components taken;
 3. what still lies in different components within a band is compared there,
-   all of it, in blocks of bounded size, keeping only the links that join
-   components.
+   in blocks of bounded size, keeping only the links that join components:
+   the texts outside the band's largest component with those inside it and
+   with each other.
 
 So no pair is lost that shares a band, and pairs within a component are not
 expanded. Bands: 32 of 6 coordinates, which miss a pair of similarity 0.8
 with probability 6e-5.
 
 Scale: band rows are 16 bytes and combined before the shuffle; only texts
-that share a band carry shingles (4 bytes each); a hot band is cut into
-blocks of ``BLOCK_TEXTS`` texts, compared block by block.
+that share a band carry shingles (4 bytes each); a hot band is cut into blocks of
+about ``BLOCK_TEXTS`` texts and ``BLOCK_BYTES`` of shingles, compared block by
+block. A large group with a few texts that are not linked to it costs as much as
+the group for each block of those few.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from math import exp, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +63,7 @@ BANDS = 32
 ROWS = 6
 COORDINATES = BANDS * ROWS
 BLOCK_TEXTS = 512
+BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 256 << 10
 #: Rank bands: [0, 2^LOWEST), [2^LOWEST, 2^(LOWEST+1)), ...
 LOWEST = -6
@@ -337,6 +341,42 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
+def residual_cells(known: DataFrame, most: int, most_bytes: int) -> DataFrame:
+    """(band, i, j, uid, comp): cells where texts of a band in different components meet.
+
+    ``known``: (band, uid, comp, bytes). Blocks -1, -2, ... are of the band's
+    largest component, 0, 1, ... of its other texts. A cell is two blocks, one
+    at least of the others; blocks of the largest component do not meet.
+    """
+    size = [F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")]
+    comps = known.groupBy("band", "comp").agg(*size)
+    bands = comps.groupBy("band").agg(
+        F.max(F.struct("n", "bytes", "comp")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")
+    )
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(n / most), F.ceil(size / most_bytes)).cast("long")
+
+    n, b = F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")
+    bands = bands.where(n > 0).select(
+        "band",
+        F.col("top.comp").alias("top"),
+        blocks(F.col("top.n"), F.col("top.bytes")).alias("tops"),
+        blocks(n, b).alias("others"),
+    )
+    # A plain table on this side lets the join split a hot band.
+    rows = known.join(materialize(bands, "open"), "band")
+    is_top = F.col("comp") == F.col("top")
+    hashed = F.xxhash64("uid")
+    mine = F.when(is_top, -1 - F.pmod(hashed, "tops")).otherwise(F.pmod(hashed, "others"))
+    first = F.when(is_top, F.lit(0).cast("long")).otherwise(-F.col("tops"))
+    rows = rows.withColumn("mine", mine)
+    rows = rows.withColumn("other", F.explode(F.sequence(first, F.col("others") - 1)))
+    return rows.where("mine <> other").select(
+        "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "uid", "comp"
+    )
+
+
 def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """(tkey, uid, class_uid) of each distinct text that is not null; a class has one class_uid.
 
@@ -353,24 +393,17 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
     members = materialize(banded.join(shared, "band"), "members")
     needed = texts.select("tkey", "uid").join(members.select("uid").distinct(), "uid")
     once = rows.groupBy("tkey").agg(F.first(TEXT).alias(TEXT))
-    sets = materialize(_shingles(once.join(needed, "tkey"), keep=("uid",)), "shingles")
+    sets = _shingles(once.join(needed, "tkey"), keep=("uid",))
+    sets = materialize(sets.withColumn("bytes", F.length("shingles")), "shingles")
     pairs = members.where("uid <> first").select(F.col("first").alias("b"), F.col("uid").alias("a")).distinct()
     links = materialize(verified(pairs, sets, least), "links")
     comp = materialize(components(links), "comp")
-    # Bands that still hold several components, cut into cells of bounded size.
-    known = members.select("band", "uid", "n").join(comp, "uid", "left")
+    # Bands that still hold several components.
+    known = members.select("band", "uid").join(comp, "uid", "left").join(sets.select("uid", "bytes"), "uid")
     known = known.withColumn("comp", F.coalesce("comp", "uid"))
-    open_bands = known.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-    open_bands = materialize(open_bands, "open")
-    parts = F.ceil(F.col("n") / BLOCK_TEXTS).cast("long")
-    left = known.join(open_bands, "band").withColumn("parts", parts)
-    left = left.withColumn("mine", F.pmod(F.xxhash64("uid"), F.col("parts")))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    cells = left.select(
-        "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "uid", "comp"
-    )
+    cells = residual_cells(known, BLOCK_TEXTS, BLOCK_BYTES)
     more = (
-        cells.join(sets, "uid")
+        cells.join(sets.select("uid", "shingles"), "uid")
         .select("band", "i", "j", "uid", "comp", "shingles")
         .repartition("band", "i", "j")
         .sortWithinPartitions("band", "i", "j")

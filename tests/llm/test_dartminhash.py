@@ -123,6 +123,41 @@ def test_large_group_goes_through_blocks(documents, monkeypatch):
     assert {r.doc_id: r.class_id for r in out} == dict(enumerate(want))
 
 
+def test_cells_let_all_texts_of_different_components_meet(spark):
+    rng = random.Random(4)
+    rows = []
+    for band, tops, others in ((1, 60, 3), (2, 5, 40), (3, 1, 1), (4, 9, 0), (5, 30, 30)):
+        start = 1000 * band
+        rows += [(band, start + k, start, 10) for k in range(tops)]
+        rows += [(band, start + 500 + k, start + 500 + k // rng.choice([1, 2]), 10) for k in range(others)]
+    known = spark.createDataFrame(rows, "band long, uid long, comp long, bytes int")
+    for most, most_bytes in ((7, 10**6), (10**6, 70), (10**6, 10**6)):
+        cells = {}
+        for r in dm.residual_cells(known, most, most_bytes).collect():
+            cells.setdefault((r.band, r.i, r.j), []).append((r.uid, r.comp))
+        met = {(b, x, y) for (b, _, _), c in cells.items() for x, cx in c for y, cy in c if x < y and cx != cy}
+        want = {(b, x, y) for b, x, cx, _ in rows for c, y, cy, _ in rows if b == c and x < y and cx != cy}
+        assert met == want
+        assert all(len(c) == len(set(c)) for c in cells.values())
+        assert max(map(len, cells.values())) < (4 * 7 if most == 7 or most_bytes == 70 else 80)
+        # Blocks of the largest component do not meet each other.
+        assert all(j >= 0 for _, _, j in cells)
+
+
+def test_large_group_with_outsiders(documents, monkeypatch):
+    monkeypatch.setattr(dm, "BLOCK_TEXTS", 8)
+    rng = random.Random(16)
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    rows = [(k, vary(rng, base, 1)) for k in range(60)]
+    rows += [(100 + k, vary(rng, base, e)) for k, e in enumerate([4, 6, 7, 8, 9, 10, 12, 30])]
+    rng.shuffle(rows)
+    out = dm.near_report(documents(rows)).collect()
+    least = {}
+    for (doc_id, _), c in zip(rows, brute_classes(rows), strict=True):
+        least.setdefault(c, []).append(doc_id)
+    assert {r.doc_id: r.class_id for r in out} == {x: min(g) for g in least.values() for x in g}
+
+
 def test_kept_rows(clash, corpus):
     docs = clash(corpus)
     kept = dm.drop_near_duplicates(docs)
