@@ -14,11 +14,12 @@ depth-first order: a conversation adds the turns beyond those it shares with
 the one before, so a pack is written in one pass with the current path in
 memory.
 
-Scale: conversations are dealt by pack. A pack is the subtree of the
-shallowest turn that at most ``PACK`` conversations share, so a first turn of
-a third of all rows becomes many packs, each with the path above it; copies
-of one conversation beyond that are dealt to several packs. One conversation
-is one row: it is one training example.
+Scale: conversations are dealt by pack, of at most ``PACK`` conversations. A
+tree of no more is one pack. In a larger one, the subtrees of at most ``PACK``
+conversations right below a turn that more share, and the conversations that
+end in it, are dealt by hash to common packs, each with the path above them:
+a first turn of a third of all rows is written about once for every ``PACK``
+of its conversations. One conversation is one row: it is one training example.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 from percepta.llm.common import materialize
 
 PACK = 256
+#: Packs dealt per ``PACK`` conversations, so that few of them get more than that and are cut.
+SPARE = 1.25
 OPEN, CLOSE, END = "<|", "|>\n", "</s>"
 LOSS_ROLE = "assistant"
 #: Control strings, of this template and of common others, as first character and rest.
@@ -105,25 +108,35 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (pack, conv_id, turns) in tree order, to the nodes of the packs."""
+def _pack(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows (pack, conv_id, turns, unit, n) in tree order, to the nodes of the packs.
+
+    The n conversations of a unit (without one: each conversation) stay
+    together; a unit that would bring a pack over ``most`` starts another.
+    """
     names = [f.split()[0] for f in re.split(r", (?=\w+ )", NODE)]
     pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     kinds = [
         pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
         pa.string(), pa.int32(), pa.int32(), pa.list_(pair),
     ]
-    pack = None
+    pack = dealt = last = None
     path: list[tuple[str, int, int]] = []  # text, start, end of the current conversation's nodes
-    at = end = 0
+    at = end = size = cuts = 0
     for batch in batches:
         for k in range(0, batch.num_rows, 128):
             part = batch.slice(k, 128)
             rows = []
-            columns = (part.column(j).to_pylist() for j in range(3))
-            for of, conv_id, turns in zip(*columns, strict=True):
-                if of != pack:
-                    pack, path, at, end = of, [], 0, 0
+            columns = (part.column(j).to_pylist() for j in range(5))
+            for of, conv_id, turns, unit, n in zip(*columns, strict=True):
+                if of != dealt:
+                    dealt = pack = of
+                    path, at, end, size, cuts = [], 0, 0, 0, 0
+                elif (unit is None or unit != last) and size + n > most:
+                    cuts += 1
+                    pack = f"{of}.{cuts}"
+                    path, at, end, size = [], 0, 0, 0
+                last, size = unit, size + 1
                 same = 0
                 while same < min(len(path), len(turns)) and path[same][0] == turns[same]["text"]:
                     same += 1
@@ -221,17 +234,32 @@ def pack_conversations(turns: DataFrame, most: int = PACK) -> DataFrame:
     counts = materialize(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "counts")
     last = F.max(F.struct("depth", "node", "n"))
     fits = F.min(F.when(F.col("n") <= most, F.struct("depth", "node")))
-    chosen = nodes.join(counts, "node").groupBy("uid").agg(last.alias("last"), fits.alias("fits"))
-    deal = F.pmod(F.xxhash64("uid"), F.ceil(F.col("last.n") / most).cast("long"))
-    pack = F.when(
-        F.col("fits").isNotNull(), F.concat(F.lit("t"), F.col("fits.node").cast("string"))
-    ).otherwise(F.concat(F.lit("c"), F.col("last.node").cast("string"), F.lit("."), deal.cast("string")))
+    # The deepest turn that too many conversations share, and the shallowest below it that few do.
+    over = F.max(F.when(F.col("n") > most, F.struct("depth", "node")))
+    fits = F.min(F.when(F.col("n") <= most, F.struct("depth", "node", "n")))
+    chosen = nodes.join(counts, "node").groupBy("uid").agg(over.alias("over"), fits.alias("fits"))
+    chosen = materialize(
+        chosen.select(
+            "uid",
+            F.col("over.node").alias("over"),
+            F.col("fits.node").alias("unit"),
+            F.coalesce("fits.n", F.lit(1)).alias("n"),
+        ),
+        "chosen",
+    )
+    below = chosen.where("over IS NOT NULL").groupBy("over").agg(F.count(F.lit(1)).alias("below"))
+    chosen = chosen.join(materialize(below, "below"), "over", "left")
+    packs = F.ceil(F.col("below") * SPARE / most).cast("long")
+    deal = F.pmod(F.xxhash64(F.coalesce("unit", "uid")), packs)
+    pack = F.when(F.col("over").isNull(), F.concat(F.lit("t"), F.col("unit").cast("string"))).otherwise(
+        F.concat(F.lit("c"), F.col("over").cast("string"), F.lit("."), deal.cast("string"))
+    )
     return (
-        convs.join(chosen.select("uid", pack.alias("pack")), "uid")
+        convs.join(chosen.select("uid", pack.alias("pack"), "unit", "n"), "uid")
         .repartition("pack")
         .sortWithinPartitions("pack", "path", "uid")
-        .select("pack", "conv_id", "turns")
-        .mapInArrow(_pack, NODE)
+        .select("pack", "conv_id", "turns", "unit", "n")
+        .mapInArrow(lambda batches: _pack(batches, most), NODE)
     )
 
 

@@ -100,6 +100,30 @@ def test_packs_are_bounded(spark):
     assert max(n for p, n in sizes.items() if p.startswith("c")) < 12
 
 
+def test_hot_first_turn_is_shared(spark):
+    """More conversations than a pack holds share the first turn and differ, or end, in the second."""
+    rows = []
+    for conv in range(1500):
+        rows.append((conv, 0, "system", "hot start"))
+        if conv % 10:
+            rows.append((conv, 1, "user", f"question {conv if conv % 3 else conv // 300}"))
+        if conv % 10 == 1:
+            rows.append((conv, 2, "assistant", f"answer {conv}"))
+    nodes = chat.pack_conversations(frame(spark, rows))
+    out = nodes.collect()
+    ends: dict = {}
+    for r in out:
+        if r.kind == "end":
+            ends[r.pack] = ends.get(r.pack, 0) + 1
+    assert sum(ends.values()) == 1500 and max(ends.values()) <= chat.PACK
+    assert len([r for r in out if r.text and "hot start" in r.text]) == len(ends) <= 2 * -(-1500 // chat.PACK)
+    # All that is below it is written once.
+    deeper = [r.text for r in out if r.kind == "turn" and r.depth == 2]
+    assert len(deeper) == len(set(deeper))
+    got = sorted((str(r.conv_id), r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in chat.read_packs(nodes).collect())
+    assert got == digest(rows)
+
+
 def test_probe_and_empty_table(spark):
     out = chat.chat_report(spark, frame(spark, [])).collect()
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in out] == [(-7, 2, len(chat.PROBE))]
