@@ -9,8 +9,8 @@ test string's end (skip that far), or are the suffix of some (shift 0). Then
 the bucket of that suffix hash gives the candidates, whose first words and
 then all words are compared directly.
 
-Scale: the benchmark is cut into blocks of items of a bounded number of
-bytes; only one block at a time is brought to the driver and shipped to the
+Scale: the benchmark is cut into blocks of distinct items of a bounded number
+of bytes; only one block at a time is brought to the driver and shipped to the
 tasks. The documents are scanned once per block in a narrow stage without
 any shuffle. With several blocks the documents are written once, with a number
 for each row; each block reads only numbers and texts and writes only hits,
@@ -191,11 +191,12 @@ def find_contamination(
     nothing; a null item id is the id ``null``; items that repeat count
     once; repeated documents are judged each; an empty benchmark hits nothing.
     """
-    # The block of an item depends on its text and the total, which grows with the benchmark alone.
+    # Distinct first: equal rows would share a block, whatever its bytes. The block of an item
+    # depends on its text and the total, which grows with the benchmark alone.
     items = benchmark.select(
         F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"),
         F.col(f"`{item_text_col}`").cast("binary").alias("text"),
-    ).where(F.col("text").isNotNull())
+    ).where(F.col("text").isNotNull()).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     items = items.withColumn("block", F.pmod(F.xxhash64("text", "item"), F.lit(blocks)))

@@ -92,3 +92,17 @@ def test_every_scan_has_its_own_tables(spark, documents):
     for k in range(6):
         found = report(spark, docs, [(k, f"word{k} inside")])
         assert [r[0] for r in found if r[2]] == [k]
+
+
+def test_repeated_items_are_shipped_once(spark, documents, monkeypatch):
+    """Equal rows of a benchmark share a block: they neither fill it nor make more blocks."""
+    shipped, scan = [], decontam._scan
+    monkeypatch.setattr(decontam, "_scan", lambda df, items, *a, **k: shipped.append(items) or scan(df, items, *a, **k))
+    items = [(1, "an item that comes often")] * 500 + [(k, f"item number{k}") for k in range(2, 20)]
+    docs = documents([(1, "here an item that comes often is"), (2, "item number7"), (3, "none")])
+    got = report(spark, docs, items, block_bytes=500)
+    assert got == [(1, 7, 5, ("1",)), (2, 2, 2, ("7",)), (3, 1, 0, ())]
+    assert [sorted(s) for s in shipped] == [sorted({(str(k), t.encode()) for k, t in items})]
+    assert report(spark, docs, items, block_bytes=100) == got
+    rest = [item for s in shipped[1:] for item in s]
+    assert len(shipped) > 2 and len(rest) == len(set(rest)) == 19
