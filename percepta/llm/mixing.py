@@ -9,8 +9,10 @@ the document at the border is taken in part.
 
 DataFrame functions alone. Scale: a document carries its id, source, size and
 hash; the order is never sorted as a whole. The border is found by sums over
-4096 hash bins of each source, then over 4096 bins of the border bin, and
-only the documents of that last bin are put in order.
+4096 hash bins of each source, then over 4096 bins of the border bin, whose
+distinct (hash, id, size) are then put in order. The n equal rows at the border
+are dealt by their row numbers into about sqrt(n) pieces, and only the rows of
+the piece at the border are put in order.
 """
 
 from __future__ import annotations
@@ -85,6 +87,27 @@ def _border(rows: DataFrame, piece: Column, start: str) -> DataFrame:
     return run.where(here).select(F.col("source").alias("of"), "bin", "before")
 
 
+def _entry(rows: DataFrame) -> DataFrame:
+    """Of rows of the border bin: the distinct (hash, id, size) where ``room`` ends, its rows and the words before it."""
+    kinds = rows.groupBy("source", "hash", "doc_id", "size").agg(
+        F.count(F.lit(1)).alias("n"), F.first("room").alias("room"), F.first("before2").alias("start")
+    )
+    words = F.col("n") * F.col("size")
+    upto = Window.partitionBy("source").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    run = kinds.withColumn("before", F.col("start") + F.coalesce(F.sum(words).over(upto), F.lit(0)))
+    here = (F.col("before") <= F.col("room")) & (F.col("room") < F.col("before") + words)
+    return run.where(here).select("source", "hash", "doc_id", "size", "n", "before").toDF(
+        "of", "hash3", "id3", "size3", "n3", "before3"
+    )
+
+
+def _share(rows: DataFrame) -> DataFrame:
+    """``part`` of the equal rows in the pieces at the border: whole, then one in part, then nothing."""
+    upto = Window.partitionBy("source").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("before4") + F.coalesce(F.sum("size").over(upto), F.lit(0))
+    return rows.withColumn("part", F.greatest(F.lit(0), F.least("size", F.col("room") - before)))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -114,6 +137,7 @@ def mix(
             F.col(f"`{source_col}`").alias("source"),
             text_size(text).alias("size"),
             F.md5(key.cast("binary")).alias("hash"),
+            F.monotonically_increasing_id().alias("rid"),
         ),
         "sized",
     )
@@ -130,25 +154,28 @@ def mix(
     rows = sized.join(sources, same).drop("of").withColumn("zero", F.lit(0).cast("long"))
     # One row for each source: written, so that its size is known to the join.
     first = materialize(_border(rows, F.substring("hash", 1, 3), "zero"), "bins").toDF("of", "bin1", "before1")
-    rows = rows.join(first, same, "left").drop("of")
-    inside = rows.where(F.substring("hash", 1, 3) == F.col("bin1"))
+    inside = rows.join(first, same).drop("of").where(F.substring("hash", 1, 3) == F.col("bin1"))
     second = materialize(_border(inside, F.substring("hash", 4, 3), "before1"), "bins").toDF("of", "bin2", "before2")
-    rows = rows.join(second, same, "left").drop("of")
-    place = F.struct(F.substring("hash", 1, 3), F.substring("hash", 4, 3))
-    border = F.struct(F.col("bin1"), F.col("bin2"))
+    inside = inside.join(second, same).drop("of").where(F.substring("hash", 4, 3) == F.col("bin2"))
+    third = materialize(_entry(inside), "entries")
+    # As many pieces as rows in each, whatever the number of equal rows.
+    piece = F.pmod(F.xxhash64("rid"), F.ceil(F.sqrt("n3")).cast("long"))
+    at_entry = (F.col("hash") == F.col("hash3")) & F.col("doc_id").eqNullSafe(F.col("id3")) & (F.col("size") == F.col("size3"))
+    equal = inside.join(third, same).drop("of").where(at_entry)
+    fourth = materialize(_border(equal, piece, "before3"), "bins").toDF("of4", "bin4", "before4")
+    last = third.join(fourth, F.col("of").eqNullSafe(F.col("of4"))).drop("of4")
+    rows = rows.join(materialize(last, "borders"), same, "left").drop("of")
+    key, entry = F.struct("hash", "doc_id", "size"), F.struct("hash3", "id3", "size3")
     # Without a border all documents fit (room is the whole source only if it rounds up to it) or room is 0.
-    outside = rows.where(F.col("bin2").isNull() | (place != border)).withColumn(
+    none = F.col("hash3").isNull()
+    outside = rows.where(none | ~at_entry | (piece != F.col("bin4"))).withColumn(
         "part",
-        F.when(F.col("bin1").isNull(), F.when(F.col("room") > 0, F.col("size")).otherwise(F.lit(0)))
-        .when(F.col("bin2").isNull(), F.lit(0))
-        .when(place < border, F.col("size"))
+        F.when(none, F.when(F.col("room") > 0, F.col("size")).otherwise(F.lit(0)))
+        .when(at_entry, F.when(piece < F.col("bin4"), F.col("size")).otherwise(F.lit(0)))
+        .when(key < entry, F.col("size"))
         .otherwise(F.lit(0)),
     )
-    upto = Window.partitionBy("source").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    at = rows.where(F.col("bin2").isNotNull() & (place == border)).withColumn(
-        "before", F.col("before2") + F.coalesce(F.sum("size").over(upto), F.lit(0))
-    )
-    at = at.withColumn("part", F.greatest(F.lit(0), F.least("size", F.col("room") - F.col("before")))).drop("before")
+    at = _share(rows.where(~none & at_entry & (piece == F.col("bin4"))))
     return outside.unionByName(at).select(
         "doc_id",
         "source",

@@ -88,3 +88,18 @@ def test_no_python_in_the_plan(documents):
 
 def test_empty_table(documents):
     assert mixing.mix(documents([])).collect() == []
+
+
+def test_equal_rows_at_the_border_are_not_sorted_as_one_group(documents, monkeypatch):
+    """The border of ``hot`` lies in 4000 equal rows; those with a null source have a null id too."""
+    seen, share = [], mixing._share
+    monkeypatch.setattr(mixing, "_share", lambda rows: seen.append(rows) or share(rows))
+    rows = [(7, "the same seven words again and again", "en", "hot")] * 4000
+    rows += [(k, "w " * (k % 5), "en", "hot") for k in range(100)]
+    rows += [(None, "no id at all", "en", None)] * 900 + [(k, "a b c d", "en", "other") for k in range(2000)]
+    out = mixing.mix(documents(rows).repartition(5)).collect()
+    check(rows, out)
+    equal = [r.taken for r in out if r.doc_id == 7 and r.source == "hot" and r.size == 7]
+    assert len(equal) == 4000 and len([t for t in equal if t % 7]) <= 1 and len({t // 7 for t in equal}) == 2
+    counts = {r.source: r["count"] for r in seen[0].groupBy("source").count().collect()}
+    assert 0 < counts["hot"] and max(counts.values()) <= 4 * 4000**0.5
