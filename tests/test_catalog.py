@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from percepta import defaults as D
+from percepta.plans import catalog
 from percepta.plans.catalog import QUERIES
 from percepta.plans.check import compare, duckdb_connection
 from percepta.plans.oracle import ORACLE_SQL
@@ -53,3 +54,10 @@ def test_driver_contract(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["entity_id", "label"] + [f"f{i}" for i in range(10)]
     assert df.count() == 1500
+
+
+def test_batch_score_export_fits_with_the_registered_budget(spark, monkeypatch):
+    asked, mlp = [], catalog.model.mlp
+    monkeypatch.setattr(catalog.model, "mlp", lambda max_iter: asked.append(max_iter) or mlp(max_iter=2))
+    assert QUERIES["batch_score_export"](spark, SF).count() > 0
+    assert asked == [D.MLP_MAX_ITER]
