@@ -15,8 +15,10 @@ from percepta.llm import (
     mixing,
     ranking,
     repeats,
+    resampling,
     tokencount,
     urlfilter,
+    whitening,
 )
 from percepta.llm.common import importable
 
@@ -70,6 +72,14 @@ def op10_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_prefix_tree,
         op9_water_filling,
         op10_bradley_terry,
+        op11_block_whitening,
+        op12_importance_resampling,
     )
 }
 
@@ -213,9 +225,56 @@ SELECT c.doc_id, c.size, r.source_size, r.target,
 FROM c JOIN r ON c.source IS NOT DISTINCT FROM r.source
 """
 
+OP12_SQL = r"""
+WITH rem AS (
+  SELECT list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS k)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+raw AS (
+  SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d
+  UNION ALL
+  SELECT 0, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) FROM b),
+many AS (SELECT r, f, count(*) AS n FROM raw GROUP BY r, f),
+hexed AS (SELECT f, hex(f) AS h FROM (SELECT DISTINCT f FROM many)),
+bytes AS (
+  SELECT f, list_transform(range(0, len(h) // 2),
+    lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS BIGINT)) AS v FROM hexed),
+crc AS (
+  SELECT f, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), v),
+    lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8))) % 10000 AS k FROM bytes, rem),
+bn AS (SELECT r, k, CAST(sum(n) AS BIGINT) AS n FROM many JOIN crc USING (f) GROUP BY r, k),
+st AS (
+  SELECT k, CAST(coalesce(sum(n) FILTER (r > 0), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (r = 0), 0) AS DOUBLE) AS t
+  FROM bn GROUP BY k),
+tot AS (SELECT sum(s) AS ss, sum(t) AS tt FROM st),
+g AS (SELECT k, CAST(floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000)))) AS BIGINT) AS gain FROM st, tot),
+dw AS (SELECT r, sum(n) AS n, sum(n * gain) AS total FROM bn JOIN g USING (k) WHERE r > 0 GROUP BY r),
+sc AS (
+  SELECT d.doc_id, len(d.w) AS words, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+    coalesce(CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT), 0) AS weight,
+    CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN dw USING (r)),
+sd AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5e0) / 4294967296))) AS BIGINT) AS score FROM sc),
+rk AS (
+  SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+    count(*) OVER (PARTITION BY words >= 20) AS n FROM sd)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM rk
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_wu_manber": OP1_SQL,
     "op2_host_rules": OP2_SQL,
     "op5_url_rules": OP5_SQL,
     "op9_water_filling": OP9_SQL,
+    "op12_importance_resampling": OP12_SQL,
 }
