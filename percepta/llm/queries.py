@@ -16,6 +16,7 @@ from percepta.llm import (
     ranking,
     repeats,
     resampling,
+    secretscan,
     tokencount,
     urlfilter,
     whitening,
@@ -80,6 +81,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op13_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secret_report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_bradley_terry,
         op11_block_whitening,
         op12_importance_resampling,
+        op13_randomness_battery,
     )
 }
 
