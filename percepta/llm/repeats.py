@@ -408,17 +408,26 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def remove_repeats(
-    docs: DataFrame, text_col: str = "text", length: int = LENGTH, as_text: bool = False
+    docs: DataFrame,
+    text_col: str = "text",
+    length: int = LENGTH,
+    as_text: bool = False,
+    least_words: int = 0,
+    gram: int = GRAM,
 ) -> DataFrame:
     """``__row``, n_bytes, n_removed, n_spans and ``kept`` (binary: the bytes that stay).
 
-    ``as_text``: ``kept`` is a string, without what is left of cut characters. Texts are judged as given, not by what is left of others; matches never
-    cross texts, all copies go. Null and empty texts have no bytes; equal
-    rows are copies of each other; an empty table gives no rows.
+    ``as_text``: ``kept`` is a string, without what is left of cut characters.
+    ``least_words``: runs of covered bytes with fewer words (between ASCII white
+    space; a part of a word counts) stay. ``gram``: bytes of an anchor, a power of
+    two below ``length``. Texts are judged as given, not by what is left of
+    others; matches never cross texts, all copies go. Null and empty texts have
+    no bytes; equal rows are copies of each other; very long texts are cut whole,
+    in slices of their windows; an empty table gives no rows.
     """
     rows = with_row(docs, text_col, text_key(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("tkey"))
     long = rows.where(F.length(TEXT) >= length).select("tkey", TEXT)
-    found = repeated(long, length)
+    found = repeated(long, length, gram)
     # The text goes through the shuffle once, inside the row.
     joined = rows.select(ROW, "tkey").join(found, "tkey", "left")
     joined = joined.select(ROW, F.col(f"{ROW}.`{text_col}`").cast("binary").alias(TEXT), "spans")
@@ -427,7 +436,7 @@ def remove_repeats(
         out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
         for text, spans in zip(texts_of(batch), texts_of(batch, "spans"), strict=True):
             text = text or b""
-            cuts = merged(spans)
+            cuts = [(s, e) for s, e in merged(spans) if not least_words or len(text[s:e].split()) >= least_words]
             kept, at = [], 0
             for s, e in cuts:
                 kept.append(text[at:s])
