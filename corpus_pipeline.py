@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from percepta.llm import dartminhash, decontam, mixing, ranking, repeats
 from percepta.llm.common import ROW, importable, materialize
 
+#: A passage that repeats goes if it has so many words ...
+PASSAGE_WORDS = 50
+#: ... and so many bytes: fifty words of two bytes and a space. Anchors are shorter than the query's, as the windows are.
+PASSAGE_BYTES, PASSAGE_GRAM = 150, 32
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,24 +30,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier, learned from ``labels``, does not reject."""
+    """The documents that the classifier, learned from ``labels``, does not reject.
+
+    Null and empty texts are scored as texts without words, equal rows equally; very long
+    texts are measured whole; an empty table stays empty. Without labels of both kinds
+    nothing is rejected.
+    """
     return ranking.drop_low_quality(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near and exact copies."""
+    """One document of each class of near and exact copies: the one of least id, ties by row.
+
+    Texts are compared whole, on word shingles; null texts and texts without words are copies of
+    none; rows that repeat are copies; an empty table stays empty.
+    """
     importable(spark)
     return dartminhash.drop_near_duplicates(docs)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes of passages that repeat.
+    """All documents, without the bytes of passages of ``PASSAGE_WORDS`` words or more that repeat.
 
-    What is left of characters that were cut goes too; ``n_chars`` is the
+    A passage is a run of bytes that are covered by strings of ``PASSAGE_BYTES`` bytes which
+    also start elsewhere; shorter runs, such as shared lines, stay. What is left of characters that were cut goes too; ``n_chars`` is the
     length of the text that remains; null texts stay null.
     """
     importable(spark)
-    found = repeats.remove_repeats(docs, as_text=True)
+    found = repeats.remove_repeats(
+        docs, length=PASSAGE_BYTES, as_text=True, least_words=PASSAGE_WORDS, gram=PASSAGE_GRAM
+    )
     cut = F.col("n_removed") > 0
     new = F.when(cut, F.col("kept")).otherwise(F.col(f"{ROW}.text"))
     columns = []
@@ -57,7 +74,11 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without any test string of ``benchmark``."""
+    """The documents without any test string of ``benchmark``.
+
+    Null texts have no words and stay; very long texts are searched whole; rows that repeat are
+    judged each for itself; an empty benchmark rejects nothing.
+    """
     return decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
