@@ -12,6 +12,7 @@ fits, index fits, training).
 from __future__ import annotations
 
 import json
+import logging
 import os
 import re
 import sys
@@ -36,7 +37,10 @@ HEADLINE = [
     "random_split",
     "classification_report",
     "preview_head",
+    "string_index_wide",
+    "split_copies",
     "mlp_train_score",
+    "batch_score_export",
     "mlp_cv",
 ]
 
@@ -62,13 +66,22 @@ def main() -> None:
     if os.path.isdir(small):
         QUERIES["feature_columns"](spark, small).write.format("noop").mode("overwrite").save()
 
+    # The steps of each single fit, as the training logs them.
+    steps: list[int] = []
+    log = logging.getLogger("percepta.operators.model")
+    log.setLevel(logging.INFO)
+    log.addFilter(lambda record: steps.append(record.args[0]) if record.msg.startswith("steps") else True)
+    fits: dict[str, list[int]] = {}
     times: dict[str, float | None] = {}
     errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
+        steps.clear()
         try:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - t0, 3)
+            if steps:
+                fits[name] = list(steps)
         except Exception as exc:  # one failing query must not lose the others' times
             times[name] = None
             errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
@@ -81,6 +94,8 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
     }
+    if fits:
+        record["training_steps"] = fits
     if errors:
         record["errors"] = errors
     print(json.dumps(record))

@@ -3,7 +3,8 @@
 The labels of a fitted indexer live on the driver and travel to every task
 inside the indexing expression, so it is for categorical columns. A column
 with very many values is indexed by ``label_table`` and ``index_by_join``
-instead: the labels stay a table, and the rows are joined with it.
+instead: the labels stay a table, and the rows are joined with it, those of
+common values by broadcast.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def fit_index(
 
 
 def label_table(df: DataFrame, column: str) -> DataFrame:
-    """``value``, ``idx`` (double): the labels by falling frequency, ties alphabetical.
+    """``value``, ``idx`` (double), ``n``: the labels by falling frequency, ties alphabetical, and their rows.
 
     Numbered by range partitions, each from its own offset, so no task sees
     all labels; written to the shared folder, so that the numbers are fixed.
@@ -74,14 +75,30 @@ def label_table(df: DataFrame, column: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
     offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     local = F.col("id") - F.shiftleft(F.col("part"), 33)
-    return numbered.join(offsets, "part").select("value", (F.col("offset") + local).cast("double").alias("idx"))
+    idx = (F.col("offset") + local).cast("double").alias("idx")
+    return numbered.join(offsets, "part").select("value", idx, "n")
+
+
+#: A value with more than one of so many rows is common: fewer than this are.
+COMMON = 1000
 
 
 def index_by_join(df: DataFrame, column: str, output: str, labels: DataFrame | None = None) -> DataFrame:
-    """``df`` with the index of ``column``; rows with NULL or unseen values are dropped."""
+    """``df`` with the index of ``column``; rows with NULL or unseen values are dropped.
+
+    Rows with a common value (more than one in ``COMMON`` of the rows that ``labels``
+    counted, so fewer than ``COMMON`` values) meet their labels by broadcast and are never
+    shuffled; the others are joined by value, and no value among them is a hot key.
+    """
     labels = label_table(df, column) if labels is None else labels
-    named = labels.select(F.col("value").alias("_index_value"), F.col("idx").alias(output))
-    return df.join(named, F.col(column).cast("string") == F.col("_index_value")).drop("_index_value")
+    total = labels.agg(F.sum("n")).first()[0] or 0
+    value, idx = F.col("value").alias("_index_value"), F.col("idx").alias(output)
+    common = F.broadcast(labels.where(F.col("n") * COMMON > total).select(value, idx))
+    rare = labels.where(F.col("n") * COMMON <= total).select(value, idx)
+    same = F.col(column).cast("string") == F.col("_index_value")
+    found = df.join(common, same).drop("_index_value")
+    others = df.where(F.col(column).isNotNull()).join(common, same, "left_anti").join(rare, same).drop("_index_value")
+    return found.unionByName(others)
 
 
 def labels_of(model: PipelineModel | StringIndexerModel) -> dict[str, list[str]]:

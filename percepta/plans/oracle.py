@@ -10,6 +10,7 @@ values that went through floating sums rounded to 6 decimals (4 for money).
 
 from __future__ import annotations
 
+from percepta import defaults as D
 from percepta.sources.fixture import FIXTURE_SQL
 
 P = f"p AS ({FIXTURE_SQL})"
@@ -19,6 +20,17 @@ PORT = "CASE WHEN site IS NULL THEN NULL WHEN site = 'S' THEN 0 WHEN site = 'C'
 PORT_DEFAULT = "CASE WHEN site IS NULL THEN 0 WHEN site = 'S' THEN 0 WHEN site = 'C' THEN 1 ELSE 2 END"
 BUCKET = "CAST(('0x' || substr(md5(CAST(entity_id AS VARCHAR)), 1, 7)) AS BIGINT) % 10"
 
+# Draws and folds of a row: from the MD5 of seed or salt and key.
+DRAW = (
+    f"CAST(('0x' || substr(md5('{D.SPLIT_SEED}|' || CAST(entity_id AS VARCHAR)), 1, 13)) AS BIGINT)"
+    " / 4503599627370496e0"
+)
+TRAIN_SHARE = repr(D.SPLIT_WEIGHTS[0] / sum(D.SPLIT_WEIGHTS)) + "e0"
+FOLD = (
+    "CAST(CAST(('0x' || substr(md5('fold|' || CAST(entity_id AS VARCHAR)), 1, 7)) AS BIGINT)"
+    f" % {D.CV_FOLDS} AS INTEGER)"
+)
+
 
 def moments(src: str = "p", name: str = "m") -> str:
     return (
@@ -144,8 +156,15 @@ ORACLE_SQL: dict[str, str] = {
  JOIN labels s ON s.input_col = 'site' AND s.value = p.site""",
     "index_pipeline": f"{EXPORT_FRAME} SELECT * FROM export",
     "hash_split": f"WITH {P} SELECT entity_id, label FROM p WHERE {BUCKET} < 8",
-    "random_split": f"""WITH {P} SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS overlap,
- CAST(0 AS BIGINT) AS missing, true AS share_ok FROM p""",
+    "random_split": f"""WITH {P}, d AS (SELECT entity_id, label, {DRAW} AS u FROM p)
+ SELECT entity_id, label, CASE WHEN u < {TRAIN_SHARE} THEN 0 ELSE 1 END AS part FROM d""",
+    "split_copies": f"""WITH {P} SELECT tier, grp, site, CAST(count(*) AS BIGINT) AS n, true AS share_ok
+ FROM p GROUP BY tier, grp, site""",
+    "string_index_wide": """WITH w AS (SELECT o_orderkey AS entity_id, CASE WHEN o_orderkey % 3 = 0 THEN 'house'
+   WHEN o_orderkey % 50 = 1 THEN NULL ELSE 'account-' || o_custkey END AS account FROM orders),
+ c AS (SELECT account, count(*) AS n FROM w WHERE account IS NOT NULL GROUP BY account),
+ l AS (SELECT account, CAST(row_number() OVER (ORDER BY n DESC, account) - 1 AS DOUBLE) AS account_index FROM c)
+ SELECT entity_id, account, account_index FROM w JOIN l USING (account)""",
     "csv_sink_headerless": f"{EXPORT_FRAME} SELECT * FROM export",
     "csv_sink_header": f"""WITH {P} SELECT entity_id, amount, tenure, {SEX} AS grp, tier, {PORT} AS site,
  n_up, n_side FROM p""",
@@ -154,14 +173,19 @@ ORACLE_SQL: dict[str, str] = {
  pred AS (SELECT CAST(label AS DOUBLE) AS l, CASE WHEN grp = 'female' THEN 1.0e0 ELSE 0.0e0 END AS pr FROM p),
  {REPORT}""",
     "constant_fill_export": f"""{EXPORT_FRAME} SELECT *, true AS share_ok FROM export""",
-    "mlp_train_score": f"WITH {P} SELECT entity_id, label, true AS valid FROM p WHERE {BUCKET} >= 8",
+    "mlp_train_score": f"""WITH {P} SELECT entity_id, label, true AS valid, true AS network_ok,
+ true AS difference_ok, true AS correct_ok FROM p WHERE {BUCKET} >= 8""",
     "mlp_report": f"""WITH {P} SELECT CAST(count(*) AS BIGINT) AS n_scored, {CHECKS}
  FROM p WHERE {BUCKET} >= 8""",
-    "mlp_cv": """SELECT block_size, max_iter, tol, true AS metric_ok, true AS best_ok
- FROM (VALUES (32), (64), (128)) b(block_size), (VALUES (10), (50)) i(max_iter),
- (VALUES (1e-2::DOUBLE), (1e-4::DOUBLE), (1e-6::DOUBLE)) t(tol)""",
-    "batch_score_export": f"""WITH {P} SELECT CAST(entity_id AS DOUBLE) AS entity_id, true AS valid
- FROM p WHERE {BUCKET} >= 8""",
+    "mlp_cv": f"""WITH {P}, t AS (SELECT {FOLD} AS fold FROM p WHERE {BUCKET} < 8),
+ k AS (SELECT fold, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY fold),
+ s AS (SELECT CAST(count(*) AS BIGINT) AS n FROM t)
+ SELECT block_size, max_iter, tol, k.fold, s.n - k.n AS n_train, k.n AS n_validation, true AS metric_ok,
+ true AS mean_ok, true AS best_ok, true AS quality_ok
+ FROM k, s, (VALUES (32), (64), (128)) b(block_size), (VALUES (10), (50)) i(max_iter),
+ (VALUES (1e-2::DOUBLE), (1e-4::DOUBLE), (1e-6::DOUBLE)) g(tol)""",
+    "batch_score_export": f"""WITH {P} SELECT CAST(entity_id AS DOUBLE) AS entity_id, true AS valid,
+ true AS network_ok, true AS correct_ok FROM p WHERE {BUCKET} >= 8""",
     "train_score_job": f"""WITH {P} SELECT entity_id AS "PassengerId", true AS valid, {CHECKS}
  FROM p WHERE {BUCKET} >= 8""",
     "cv_score_job": f"""WITH {P} SELECT entity_id AS "PassengerId", true AS valid, {CHECKS},

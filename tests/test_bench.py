@@ -17,7 +17,7 @@ def test_bench_prints_one_json_line():
         os.environ,
         BENCH_SF_DIR="/root/testdata/sf0.001",
         BENCH_CPUS="2",
-        BENCH_QUERIES="feature_columns,hash_split",
+        BENCH_QUERIES="feature_columns,hash_split,mlp_report",
         BENCH_EVENT_LOG_DIR=events,
     )
     out = subprocess.run(
@@ -27,6 +27,7 @@ def test_bench_prints_one_json_line():
     assert len(out) == 1
     rec = json.loads(out[0])
     assert rec["unit"] == "sec" and rec["sf"] == 0.001
-    assert set(rec["queries"]) == {"feature_columns", "hash_split"}
+    assert set(rec["queries"]) == {"feature_columns", "hash_split", "mlp_report"}
     assert abs(rec["value"] - sum(rec["queries"].values())) < 1e-6
+    assert len(rec["training_steps"]["mlp_report"]) == 1 and rec["training_steps"]["mlp_report"][0] > 10
     assert os.listdir(events)  # an event log was written

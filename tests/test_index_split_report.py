@@ -75,6 +75,89 @@ def test_random_split_disjoint_and_complete(spark, fixture_small):
     assert 0.7 < len(a) / 1500 < 0.9
 
 
+def shuffled(df, n):
+    """The rows behind a shuffle whose order differs from one evaluation to the next."""
+    return df.withColumn("_r", F.rand()).repartition(n, "_r").sortWithinPartitions("_r").drop("_r")
+
+
+@pytest.mark.parametrize("key", ["entity_id", None])
+def test_random_split_holds_behind_a_changing_shuffle(spark, fixture_small, key):
+    rows = fixture_small.select("entity_id", "site", "amount")
+    ids = [sorted(r[0] for r in p.collect()) for p in split.random_split(shuffled(rows, 5), [0.8, 0.2], 7, key)]
+    again = [sorted(r[0] for r in p.collect()) for p in split.random_split(shuffled(rows, 3), [0.8, 0.2], 7, key)]
+    assert ids == again
+    assert sorted(ids[0] + ids[1]) == sorted(r[0] for r in rows.select("entity_id").collect())
+    assert 0.75 < len(ids[0]) / 1500 < 0.85
+    other = split.random_split(rows, [0.8, 0.2], 8, key)[0]
+    assert sorted(r[0] for r in other.collect()) != ids[0]
+
+
+def test_random_split_of_null_keys_and_empty_parts(spark):
+    rows = spark.createDataFrame([(None if k % 3 == 0 else k, k) for k in range(900)], "k int, v int")
+    a, b, c = (p.collect() for p in split.random_split(shuffled(rows, 4), [0.5, 0.5, 0.0], 3, "k"))
+    assert sorted(r.v for r in a + b) == list(range(900)) and not c
+    nulls = sum(r.k is None for r in a)
+    assert 100 < nulls < 200  # rows with a NULL key are drawn by their content
+
+
+@pytest.mark.parametrize("copies", [100_000, 7])
+def test_split_copies_deals_equal_rows_in_proportion(spark, copies):
+    rows = spark.createDataFrame([("hot", None)] * 5000 + [(f"v{k % 50}", k % 50) for k in range(700)], "a string, b int")
+    rows = rows.unionByName(spark.createDataFrame([(f"one{k}", k) for k in range(1000)], "a string, b int"))
+    parts = [p.collect() for p in split.split_copies(shuffled(rows, 5), [0.6, 0.3, 0.1], 11, copies)]
+    assert sorted(map(str, sum(parts, []))) == sorted(map(str, rows.collect()))
+    counts = [{} for _ in parts]
+    for count, part in zip(counts, parts, strict=True):
+        for r in part:
+            count[r.a] = count.get(r.a, 0) + 1
+    assert [c["hot"] for c in counts] in ([3000, 1500, 500], [3001, 1500, 499], [3000, 1501, 499], [3001, 1499, 500])
+    for k in range(50):
+        assert all(abs(c.get(f"v{k}", 0) - 14 * w) < 2 for c, w in zip(counts, (0.6, 0.3, 0.1), strict=True))
+    singles = [sum(n == 1 for a, n in c.items() if a.startswith("one")) for c in counts]
+    assert sum(singles) == 1000 and abs(singles[0] - 600) < 60 and abs(singles[2] - 100) < 40
+    again = [sorted(map(str, p.collect())) for p in split.split_copies(shuffled(rows, 3), [0.6, 0.3, 0.1], 11, copies)]
+    assert again == [sorted(map(str, p)) for p in parts]
+    assert [p.count() for p in split.split_copies(rows.where("false"), [0.5, 0.5], 1)] == [0, 0]
+
+
+def test_index_by_join_keeps_common_values_out_of_the_shuffle(spark):
+    rows = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("v"), F.col("id") % 5000)).alias("k")
+    )
+    labels = index.label_table(rows, "k")
+    out = index.index_by_join(rows, "k", "i", labels)
+    assert out.columns == ["id", "k", "i"]
+    counts = [(r["k"], r["count"]) for r in rows.where("k IS NOT NULL").groupBy("k").count().collect()]
+    expected = {v: float(i) for i, (v, _) in enumerate(sorted(counts, key=lambda c: (-c[1], c[0])))}
+    got = out.collect()
+    assert len(got) == rows.where("k IS NOT NULL").count()
+    assert all(r["i"] == expected[r["k"]] for r in got) and expected["hot"] == 0.0
+    # What is left for the shuffle join has no value with more than one in COMMON of the rows.
+    rare = labels.where(F.col("n") * index.COMMON <= 30_000).agg(F.max("n")).first()[0]
+    assert rare <= 30 and labels.where(F.col("n") * index.COMMON > 30_000).count() < index.COMMON
+
+
+def test_index_by_join_on_an_empty_table(spark):
+    rows = spark.createDataFrame([(1, None)], "id int, k string")
+    assert index.index_by_join(rows, "k", "i").count() == 0
+
+
+def test_folds_are_those_of_sql(spark, fixture_small):
+    import duckdb
+
+    folds = split.assign_folds(fixture_small.select("entity_id"), "entity_id", 10).collect()
+    con = duckdb.connect()
+    for r in folds[::50]:
+        sql = f"SELECT CAST('0x' || substr(md5('fold|{r.entity_id}'), 1, 7) AS BIGINT) % 10"
+        assert con.execute(sql).fetchone()[0] == r.fold
+
+
+def test_null_keys_fill_all_folds(spark):
+    rows = spark.range(600).select(F.lit(None).cast("long").alias("k"), "id")
+    sizes = [r["count"] for r in split.assign_folds(rows, "k", 5).groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 60
+
+
 def test_hash_split_is_partitioning_independent(spark, fixture_small):
     t1, v1 = split.hash_split(fixture_small, "entity_id")
     t2, _ = split.hash_split(fixture_small.repartition(7), "entity_id")
