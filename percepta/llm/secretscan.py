@@ -135,7 +135,10 @@ def _by_encoding(encoding: Column, values: list) -> Column:
 
 
 def battery(rows: DataFrame, column: str, out: str) -> DataFrame:
-    """``rows`` with ``out``: the p value of the string being uniform over its encoding; 0 if it has none, null for null."""
+    """``rows`` with ``out``: the p value of the string being uniform over its encoding; 0 if it has none.
+
+    Null for null and for a single character, which no test can judge.
+    """
     names = [f"{out}_{k}" for k in ("encoding", "s", "n", "abc", "half", "quarter", "sums", "chi", "class", "runs", "serial")]
     encoding, s, n, abc, half, quarter, sums, chi, kinds, runs, serial = names
     inferred = F.lit(None).cast("string")
@@ -145,7 +148,8 @@ def battery(rows: DataFrame, column: str, out: str) -> DataFrame:
     sizes = [len(a) for a in alphabets]
     rows = rows.withColumn(encoding, inferred)
     small = _by_encoding(F.col(encoding), [e[2] for e in ENCODINGS])
-    rows = rows.withColumn(s, F.when(small, F.lower(column)).otherwise(F.col(column)))
+    told = F.col(encoding).isNotNull() & (F.length(column) > 1)
+    rows = rows.withColumn(s, F.when(told, F.when(small, F.lower(column)).otherwise(F.col(column))))
     rows = rows.withColumn(n, F.length(s).cast("double"))
     rows = rows.withColumn(abc, _by_encoding(F.col(encoding), alphabets))
     k = _by_encoding(F.col(encoding), [float(x) for x in sizes])

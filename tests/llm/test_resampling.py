@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from percepta.llm import resampling
+from percepta.llm.common import plain_words
+from tests.llm.conftest import ODD
+
+
+def features(text):
+    words = plain_words((text or "").encode())
+    return words, [zlib.crc32(f) % 10_000 for f in (*words, *(a + b" " + b for a, b in zip(words, words[1:], strict=False)))]
+
+
+def brute(rows, items):
+    docs, target = [features(r[1]) for r in rows], [features(t) for t in items]
+    s, t = (np.bincount([b for _, f in part for b in f], minlength=10_000) for part in (docs, target))
+    total, goal = int(s.sum()), int(t.sum())
+    gain = [math.floor(1000 * math.log((float(b) + 1) * (total + 10_000) / ((float(a) + 1) * (goal + 10_000)))) for a, b in zip(s, t, strict=True)]
+    out = []
+    for row, (words, found) in zip(rows, docs, strict=True):
+        weight = sum(gain[b] for b in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"7:{'' if row[0] is None else row[0]}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append((row[0], len(found), weight, score, len(words)))
+    may = sorted((r for r in out if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    return out, [r[0] for r in may[: 25 * len(may) // 100]]
+
+
+def make_rows(rng):
+    words = [f"w{k}" for k in range(300)] + ["éa", "ÄB", "x" * 300]
+    rows = [(k, " ".join(rng.choices(words, k=rng.randint(1, 90)))) for k in range(120)]
+    rows += [(500, rows[3][1] * 8)] * 60  # equal rows, a third of all
+    rows += [(600, " ".join(rng.choices(words, k=60_000)))]  # very long
+    return rows, [" ".join(rng.choices(words[:40], k=30)) for _ in range(5)]
+
+
+@pytest.mark.parametrize("entries", [1 << 16, 50])
+def test_report_equals_brute_force(spark, documents, monkeypatch, entries):
+    """With one automaton a slice, and with several."""
+    monkeypatch.setattr(resampling, "ENTRIES", entries)
+    rows, items = make_rows(random.Random(4))
+    rows += [r[:2] for r in ODD]
+    target = spark.createDataFrame([(k, t) for k, t in enumerate(items)] + [(9, None)], "item_id long, text string")
+    got = resampling.resample_report(documents(rows).repartition(5), target).collect()
+    want, drawn = brute(rows, items)
+    key = lambda r: (r[0] is None, *(x or 0 for x in r))
+    assert sorted((tuple(r)[:4] for r in got), key=key) == sorted((r[:4] for r in want), key=key)
+    ranked = sorted((r.rank, r.doc_id) for r in got if r.rank is not None)
+    assert [r for r, _ in ranked] == list(range(1, len(drawn) + 1)) and [d for _, d in ranked] == drawn
+
+
+def test_joined_crcs_equal_zlib():
+    rng = random.Random(5)
+    parts = [rng.randbytes(rng.choice((0, 1, 2, 7, 64, 300, 5000))) for _ in range(200)]
+    a, b = parts[:100], parts[100:]
+    as32 = lambda xs: np.array([zlib.crc32(x) for x in xs], dtype=np.uint32)
+    got = resampling.joined_crc(as32(a), as32(b), np.array([len(x) for x in b]))
+    assert got.tolist() == [zlib.crc32(x + y) for x, y in zip(a, b, strict=True)]
+
+
+def test_scan_emits_whole_words_in_order():
+    words = ["a", "ab", "abc", "b"]
+    _, found = resampling.scan(" ab a abc b ab ", words)
+    assert [words[k] for k in found] == ["ab", "a", "abc", "b", "ab"]
+
+
+def test_draw_returns_whole_documents(spark, clash):
+    rows, items = make_rows(random.Random(6))
+    target = spark.createDataFrame([(k, t) for k, t in enumerate(items)], "item_id long, text string")
+    docs = clash(rows)
+    out = resampling.draw(docs, target)
+    assert out.columns == docs.columns
+    texts = dict(rows)
+    got = out.collect()
+    assert sorted(r.doc_id for r in got) == sorted(brute(rows, items)[1]) and all(r.text == texts[r.doc_id] for r in got)
+
+
+def test_empty_tables_and_odd_rows(spark, clash):
+    target = spark.createDataFrame([], "item_id long, text string")
+    assert resampling.resample_report(clash([]), target).count() == 0
+    out = resampling.resample_report(clash(ODD), target).collect()
+    assert len(out) == len(ODD) and all(r.rank is None for r in out)
+    assert all(r.n_features == 0 and r.weight == 0 for r in out if r.doc_id in (1, 2, 3))
