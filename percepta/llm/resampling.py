@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -42,9 +43,8 @@ LEAST_WORDS = 20
 PERCENT = 25
 #: Words of one automaton.
 ENTRIES = 1 << 16
-SLICE_BYTES = 4 << 20
-#: Payloads held as Python objects at a time.
-HITS = 1 << 16
+#: Texts scanned together: few enough words for one automaton that stays in the processor's cache.
+SLICE_BYTES = 1 << 19
 _POLYNOMIAL = 0xEDB88320  # CRC-32, bits reversed
 
 
@@ -96,39 +96,35 @@ def joined_crc(first: np.ndarray, second: np.ndarray, length: np.ndarray) -> np.
     return _SHIFT(first, length) ^ second
 
 
-def scan(text: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, indices into ``words``) of the words in ``text``, where all words stand between single spaces."""
+def scan(text: str, words: list[str]) -> np.ndarray:
+    """The indices into ``words`` of the words in ``text``, in order, where all words stand between single spaces."""
     ends, found = [], []
     for start in range(0, len(words), ENTRIES):
         automaton = ahocorasick.Automaton()
         for k in range(start, min(start + ENTRIES, len(words))):
             automaton.add_word(f" {words[k]} ", k)
         automaton.make_automaton()
-        emitted = automaton.iter(text)
-        while hits := list(islice(emitted, HITS)):
-            end, k = np.array(hits, dtype=np.int64).T
-            ends.append(end)
-            found.append(k)
-    ends, found = np.concatenate(ends), np.concatenate(found)
-    if len(words) > ENTRIES:
-        order = np.argsort(ends)
-        ends, found = ends[order], found[order]
-    return ends, found
+        if len(words) <= ENTRIES:  # the payloads come in the order of the text
+            return np.fromiter(map(itemgetter(1), automaton.iter(text)), dtype=np.int64)
+        hits = np.fromiter(chain.from_iterable(automaton.iter(text)), dtype=np.int64).reshape(-1, 2)
+        ends.append(hits[:, 0])
+        found.append(hits[:, 1])
+    return np.concatenate(found)[np.argsort(np.concatenate(ends))]
 
 
 def feature_buckets(texts: list[bytes | None], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, bucket) of all features of all texts, and the words of each text."""
-    plain = [" ".join(w.decode("latin-1") for w in plain_words(t)) for t in texts]
-    counts = np.array([p.count(" ") + 1 if p else 0 for p in plain], dtype=np.int64)
-    joined = " ".join(p for p in plain if p)
-    if not joined:
+    plain = [plain_words(t) for t in texts]
+    counts = np.array([len(p) for p in plain], dtype=np.int64)
+    if not counts.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64), counts
-    words = sorted(set(joined.split(" ")))
-    raw = [w.encode("latin-1") for w in words]
+    raw = list(set().union(*plain))
+    words = [w.decode("latin-1") for w in raw]
+    joined = b" ".join([b" ".join(p) for p in plain if p]).decode("latin-1")
     crc = np.array([zlib.crc32(w) for w in raw], dtype=np.uint32)
     spaced = np.array([zlib.crc32(b" ", c) for c in crc.tolist()], dtype=np.uint32)
     length = np.array([len(w) for w in raw], dtype=np.int64)
-    _, at = scan(f" {joined} ", words)
+    at = scan(f" {joined} ", words)
     text = np.repeat(np.arange(len(texts)), counts)
     inside = text[1:] == text[:-1]
     first, second = at[:-1][inside], at[1:][inside]
@@ -187,19 +183,21 @@ def score_documents(
     """
     shipped = docs.sparkSession.sparkContext.broadcast(gains)  # one number a bucket
 
-    def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        texts = texts_of(batch)
-        parts = [feature_buckets(texts, len(shipped.value))] if texts else []
-        at, bucket, words = parts[0] if parts else (np.zeros(0, np.int64),) * 3
+    def weigh(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, bucket, words = feature_buckets(texts, len(shipped.value))
         n = np.bincount(at, minlength=len(texts))
         order = np.argsort(at, kind="stable")
         runs = np.concatenate([[0], np.cumsum(shipped.value[bucket[order]])])
         ends = np.cumsum(n)
         sums = runs[ends] - runs[ends - n]
+        return words, n, np.where(n > 0, sums // np.maximum(n, 1), 0)
+
+    def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        parts = [weigh(texts_of(part)) for part in small(batch, SLICE_BYTES)]
+        names = ("n_words", "n_features", "weight")
         return {
-            "n_words": pa.array(words, pa.int64()),
-            "n_features": pa.array(n, pa.int64()),
-            "weight": pa.array(np.where(n > 0, sums // np.maximum(n, 1), 0), pa.int64()),
+            k: pa.array(np.concatenate(v), pa.int64()) if parts else pa.array([], pa.int64())
+            for k, v in zip(names, zip(*parts, strict=True) if parts else ((),) * 3, strict=True)
         }
 
     rows = with_row(docs, text_col)
