@@ -27,7 +27,7 @@ def summarize(text: str) -> dict:
     reads = re.findall(r"ReadSchema: struct<(.*)>", text)
     pushed = [p for p in re.findall(r"PushedFilters: \[(.*)\]", text) if p]
     return {
-        "exchanges": len(re.findall(r"\bExchange\b", head)) - len(re.findall(r"BroadcastExchange", head)),
+        "exchanges": len(re.findall(r"\bExchange\b", head)),
         "broadcasts": len(re.findall(r"BroadcastExchange", head)),
         "sorts": len(re.findall(r"\bSort \(", head)),
         "codegen_stages": len(set(re.findall(r"codegen id : (\d+)", text))),
