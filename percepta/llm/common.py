@@ -117,6 +117,11 @@ def small(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch
         yield batch.slice(i, step)
 
 
+def decoded(text: bytes | None) -> str:
+    """The text of UTF-8 bytes; malformed bytes become U+FFFD, null the empty text."""
+    return (text or b"").decode("utf-8", "replace")
+
+
 def texts_of(batch: pa.RecordBatch, name: str = TEXT) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

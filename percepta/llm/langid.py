@@ -7,9 +7,9 @@ of all its n-grams, a language's prototype those of all its training texts.
 The language predicted is that of the prototype with the largest cosine.
 
 Scale: training sums profiles per task and language, so the shuffle moves a
-few vectors per task, whatever a language's share of the rows; what reaches
-the driver and is shipped to tasks is one vector per language. Predicting is
-one narrow stage over whole texts.
+few vectors per task, whatever a language's share of the rows. Predicting is
+one narrow stage over whole texts for each block of ``MAX_LANGUAGES`` languages;
+the driver and the tasks hold the prototypes of one block at a time.
 """
 
 from __future__ import annotations
@@ -22,12 +22,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from percepta.llm.common import ROW, TEXT, add_columns, field, id_crc, small, texts_of, with_row
+from percepta.llm.common import (
+    ROW,
+    TEXT,
+    add_columns,
+    decoded,
+    field,
+    id_crc,
+    materialize,
+    small,
+    texts_of,
+    with_row,
+)
 
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 11
-#: Prototypes are shipped to every task: so many languages at most (32 MB).
+#: Prototypes are shipped to every task, so many languages at a time (16 MB; 32 MB on the driver).
 MAX_LANGUAGES = 4096
 SLICE_BYTES = 256 << 10
 UNKNOWN = "und"
@@ -110,6 +121,17 @@ def _counts(rows: np.ndarray, number: np.ndarray, n_rows: int, n_kinds: int) ->
 def learn(texts: DataFrame) -> DataFrame:
     """(lang, at, value): the prototypes of rows (``__text``, lang), a row per dimension."""
 
+    def sums_of(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for name, profile in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name] * DIMENSIONS, pa.string()),
+                    pa.array(np.arange(DIMENSIONS), pa.int32()),
+                    pa.array(profile, pa.float64()),
+                ],
+                names=["lang", "at", "value"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -117,7 +139,7 @@ def learn(texts: DataFrame) -> DataFrame:
                 langs = part.column(part.schema.get_field_index("lang")).to_pylist()
                 names = sorted(set(langs))
                 row_of = {x: k for k, x in enumerate(names)}
-                found = [(t or b"").decode("utf-8", "replace") for t in texts_of(part)]
+                found = [decoded(t) for t in texts_of(part)]
                 text, number, parts, _ = grams(found)
                 of = np.array([row_of[x] for x in langs], dtype=np.int64)
                 sums = _counts(of[text], number, len(names), parts.shape[1]) if len(text) else None
@@ -125,80 +147,92 @@ def learn(texts: DataFrame) -> DataFrame:
                     continue
                 for name, profile in zip(names, bundle(sums, parts), strict=True):
                     total[name] = total.get(name, 0.0) + profile.astype(np.float64)
-        for name, profile in total.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name] * DIMENSIONS, pa.string()),
-                    pa.array(np.arange(DIMENSIONS), pa.int32()),
-                    pa.array(profile, pa.float64()),
-                ],
-                names=["lang", "at", "value"],
-            )
+                if len(total) > MAX_LANGUAGES:
+                    yield from sums_of(total)
+                    total = {}
+        yield from sums_of(total)
 
     sums = texts.select(TEXT, "lang").mapInArrow(run, "lang string, at int, value double")
     return sums.groupBy("lang", "at").agg(F.sum("value").alias("value"))
 
 
-def prototypes(learned: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages and their unit prototypes. Raises ValueError above ``MAX_LANGUAGES``."""
+def prototypes(learned: DataFrame, most: int = MAX_LANGUAGES) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Languages in order and their unit prototypes, ``most`` at a time; one empty block if none."""
     profiles = learned.groupBy("lang").agg(
         F.sort_array(F.collect_list(F.struct("at", "value"))).alias("profile")
     )
-    rows = profiles.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    matrix = np.array([[x.value for x in r.profile] for r in rows], dtype=np.float64)
-    matrix = matrix.reshape(len(rows), DIMENSIONS)
-    return [r.lang for r in rows], matrix / np.maximum(
-        np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12
-    )
-
-
-def predict(rows: DataFrame, langs: list[str], units: np.ndarray, keep: tuple[str, ...]) -> DataFrame:
-    """Add lang_pred and score (the cosine, at least 0) to rows with ``__text``."""
+    profiles = materialize(profiles, "prototypes")
+    last = None
+    while True:
+        after = profiles if last is None else profiles.where(F.col("lang") > last)
+        rows = after.orderBy("lang").limit(most).collect()
+        if rows or last is None:
+            matrix = np.array([[x.value for x in r.profile] for r in rows], dtype=np.float64)
+            matrix = matrix.reshape(len(rows), DIMENSIONS)
+            length = np.linalg.norm(matrix, axis=1, keepdims=True)
+            yield [r.lang for r in rows], matrix / np.maximum(length, 1e-12)
+        if len(rows) < most:
+            return
+        last = rows[-1].lang
+
+
+def nearest(rows: DataFrame, langs: list[str], units: np.ndarray) -> DataFrame:
+    """Rows of ``__row``, ``__text``, lang_pred and cosine, with nearer languages of this block put in."""
     shipped = rows.sparkSession.sparkContext.broadcast(units.T.astype(np.float32))
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        names, scores = [], []
+        names, cosines = texts_of(batch, "lang_pred"), texts_of(batch, "cosine")
+        at = 0
         for part in small(batch, SLICE_BYTES):
-            texts = [(t or b"").decode("utf-8", "replace") for t in texts_of(part)]
+            texts = [decoded(t) for t in texts_of(part)]
             text, number, parts, has = grams(texts)
             counts = _counts(text, number, len(texts), parts.shape[1])
             profile = bundle(counts, parts)
             length = np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-12)
             cosine = (profile / length) @ shipped.value
             for k in range(len(texts)):
-                if not has[k] or not langs:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                else:
+                if has[k] and langs:
                     best = int(cosine[k].argmax())
-                    names.append(langs[best])
-                    scores.append(float(min(max(cosine[k, best], 0.0), 1.0)))
-        return {
-            "lang_pred": pa.array(names, pa.string()),
-            "score": pa.array(scores, pa.float64()),
-        }
+                    if cosines[at + k] is None or cosine[k, best] > cosines[at + k]:
+                        names[at + k], cosines[at + k] = langs[best], float(cosine[k, best])
+            at += len(texts)
+        return {"lang_pred": pa.array(names, pa.string()), "cosine": pa.array(cosines, pa.float64())}
 
-    fields = [field("lang_pred", T.StringType()), field("score", T.DoubleType())]
-    return add_columns(rows, compute, fields, keep=keep)
+    fields = [field("lang_pred", T.StringType()), field("cosine", T.DoubleType())]
+    return add_columns(rows, compute, fields)
 
 
 def identify(
-    docs: DataFrame, train: DataFrame, text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    train: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    most: int = MAX_LANGUAGES,
 ) -> DataFrame:
     """``__row``, lang_pred and score of ``docs``, learned from the rows of ``train``.
 
     Training rows with a null language or text teach nothing. A null text, or
     one without a letter, is ``und`` with score 0, and so is every text if
     nothing was learned. Equal cosines go to the language first in order.
-    Repeated rows count each; very long texts are used whole.
+    Repeated rows count each; very long texts are used whole; malformed UTF-8 is
+    read as U+FFFD, in languages too; an empty table gives no rows; other columns
+    stay inside ``__row``, whatever their names. ``most`` languages are compared
+    in one pass over the documents, others in further passes.
     """
     taught = train.select(
-        F.col(f"`{text_col}`").cast("binary").alias(TEXT), F.col(f"`{lang_col}`").alias("lang")
+        F.col(f"`{text_col}`").cast("binary").alias(TEXT), F.make_valid_utf8(f"`{lang_col}`").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col(TEXT).isNotNull())
-    langs, units = prototypes(learn(taught))
-    return predict(with_row(docs, text_col), langs, units, keep=(ROW,))
+    found = None
+    for langs, units in prototypes(learn(taught), most):
+        if found is None:
+            best = F.lit(None).cast("string"), F.lit(None).cast("double")
+            rows = with_row(docs, text_col, best[0].alias("lang_pred"), best[1].alias("cosine"))
+        else:
+            text = F.col(f"{ROW}.`{text_col}`").cast("binary").alias(TEXT)
+            rows = materialize(found, "nearest").select(ROW, text, "lang_pred", "cosine")
+        found = nearest(rows, langs, units)
+    score = F.least(F.greatest(F.coalesce("cosine", F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    return found.select(ROW, F.coalesce("lang_pred", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))
 
 
 def language_report(docs: DataFrame) -> DataFrame:

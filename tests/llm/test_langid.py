@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from percepta.llm import langid
 from tests.llm.conftest import ODD
@@ -73,6 +74,47 @@ def test_held_out_accuracy_and_odd_rows(clash):
     assert {r.lang_pred for r in out} <= {"xx", "yy", "zz", "en", "de", "und"}
 
 
+def test_blocks_of_languages_give_what_one_block_gives(documents, monkeypatch):
+    rows = [(k, t, f"{x}{k % 3}") for k, t, x in make(3, 60)] + [(100, "1 2", None), (101, None, "q")]
+    docs = documents(rows)
+
+    def result(most):
+        out = langid.identify(docs, docs, most=most).collect()
+        return {r["__row"].doc_id: r.lang_pred for r in out}, {r["__row"].doc_id: r.score for r in out}
+
+    whole = result(100)
+    assert len(whole[0]) == len(rows) and len(set(whole[0].values())) > 4
+
+    def same(most):
+        langs, scores = result(most)
+        return langs == whole[0] and scores == pytest.approx(whole[1], abs=1e-5)
+
+    assert same(2) and same(3) and same(9)
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)  # sums leave a task in parts
+    assert same(4)
+
+
+def test_prediction_is_the_largest_cosine(documents):
+    rows = make(4, 30, words=6)
+    units = {}
+    for x in sorted(SYLLABLES):
+        total = sum(slow_profile(t) for _, t, lang in rows if lang == x)
+        units[x] = total / np.linalg.norm(total)
+    docs = documents(rows)
+    for r in langid.identify(docs, docs).collect():
+        profile = slow_profile(r["__row"].text)
+        cosine = {x: float(u @ profile / np.linalg.norm(profile)) for x, u in units.items()}
+        best = max(cosine, key=lambda x: cosine[x])
+        assert r.lang_pred == best and abs(r.score - cosine[best]) < 1e-5
+
+
+def test_malformed_bytes(spark):
+    rows = spark.range(8).selectExpr(
+        "id AS doc_id", "CAST(unhex('6B61FF7469') AS string) AS text", "CAST(unhex('78FF') AS string) AS lang"
+    )
+    assert {r.lang_pred for r in langid.language_report(rows).collect()} == {"x\ufffd"}
+
+
 def test_nothing_to_learn(documents):
     assert langid.language_report(documents([])).collect() == []
     rows = [(k, "some words", None) for k in range(8)]
