@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from percepta.llm.common import materialize
+from percepta.llm.common import decoded, materialize
 
 PACK = 256
 #: Packs dealt per ``PACK`` conversations, so that few of them get more than that and are cut.
@@ -92,7 +92,7 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in part.column(1).to_pylist():
                 path, made, h = [], [], 0
                 for row in rows:
-                    text, s, e = format_turn(row["role"] or "", row["text"] or "")
+                    text, s, e = format_turn(decoded(row["role"]), decoded(row["text"]))
                     h = xxhash.xxh3_64_intdigest(text.encode(), h)
                     path.append(h - (1 << 63))
                     made.append({"text": text, "s": s, "e": e})
@@ -221,9 +221,11 @@ def pack_conversations(turns: DataFrame, most: int = PACK) -> DataFrame:
     that its ``attend`` intervals cover. A null text or role is empty; rows
     are ordered by turn (null first), then role and text, and repeated rows
     are turns each; a null conv_id is one conversation; empty tables give no rows.
+    Very long texts are written whole; malformed UTF-8 is read as U+FFFD.
     """
+    as_bytes = [F.col(c).cast("binary").alias(c) for c in ("role", "text")]
     grouped = turns.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("turn", *as_bytes))).alias("rows")
     )
     formatted = grouped.mapInArrow(
         _format, "conv_id long, path array<long>, turns array<struct<text:string,s:int,e:int>>"

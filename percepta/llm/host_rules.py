@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from percepta.llm.common import ROW, add_columns, field, materialize, texts_of, with_row
+from percepta.llm.common import ROW, add_columns, decoded, field, materialize, texts_of, with_row
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -63,12 +63,15 @@ def repeat_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
 
 
 def measure(text: bytes | None) -> tuple[int, ...]:
-    """The ``MEASURES`` of one text; a null text has no words and no lines."""
+    """The ``MEASURES`` of one text; a null text has no words and no lines.
+
+    Malformed UTF-8 counts as the characters U+FFFD that it decodes to.
+    """
     if not text:
         return (0,) * len(MEASURES)
     words = text.split()
-    solid = text.translate(None, SPACES)
-    chars = len(solid) if solid.isascii() else len(solid.decode())
+    solid = len(text.translate(None, SPACES))
+    chars = solid if text.isascii() else len(decoded(text)) - (len(text) - solid)
     lines = [x for x in text.split(b"\n") if _HAS_WORD.search(x)]
     return (
         len(words),
@@ -153,7 +156,9 @@ def judge_hosts(
 
     ``kept``: passes every rule, at a host that is not rejected. A null text
     has no words and so fails; repeated rows are judged and counted each;
-    documents with a null host share one; an empty table gives no rows.
+    documents with a null host share one; an empty table gives no rows. Very long
+    texts are measured whole; malformed UTF-8 counts as U+FFFD. Other columns are
+    ignored, whatever their names.
     """
     measured = materialize(
         document_measures(docs, text_col).select(

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from percepta.llm.common import ROW, add_columns, field, texts_of, with_row
+from percepta.llm.common import ROW, add_columns, decoded, field, texts_of, with_row
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -195,7 +195,7 @@ class Counter:
 
     def count(self, texts: list[bytes | None]) -> list[int]:
         units = [
-            _UNIT.findall(MARK + t.decode("utf-8").replace(" ", MARK)) if t else [] for t in texts
+            _UNIT.findall(MARK + decoded(t).replace(" ", MARK)) if t else [] for t in texts
         ]
         new = list(set().union(*units) - self.known.keys())
         if len(self.known) + len(new) > CACHE:
@@ -221,6 +221,9 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, text_col: str =
     the model ``piece_bpe_32k.model`` of the installed ``public_tokenizers``.
     A null or empty text has no bytes and no tokens. No beginning, end or
     other special tokens are added, and their strings in a text are text.
+    Malformed UTF-8 is read as U+FFFD, as by Python's ``replace``; n_bytes counts the
+    bytes given. Very long texts are counted whole, repeated rows each; an empty
+    table gives no rows; other columns stay inside ``__row``, whatever their names.
     """
 
     def counter() -> Counter:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from percepta.llm.common import ROW, TEXT, add_columns, field, texts_of, with_row
+from percepta.llm.common import ROW, TEXT, add_columns, decoded, field, texts_of, with_row
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -129,7 +129,7 @@ def token_counts(urls: DataFrame, tokens: set[str]) -> dict[str, int]:
         total: Counter = Counter()
         for batch in batches:
             for url in texts_of(batch):
-                total.update(tokens & tokens_of("".join(split_url((url or b"").decode()))))
+                total.update(tokens & tokens_of("".join(split_url(decoded(url)))))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
             names=["token", "n"],
@@ -149,7 +149,9 @@ def judge_urls(
 
     ``rule`` is the domain rule that decided, else null; ``pattern`` the
     pattern rule that decided, else null. A null url, or one without ``://``,
-    has an empty host and path and is allowed. Repeated urls are judged each.
+    has an empty host and path and is allowed. Repeated urls are judged each,
+    very long ones whole; malformed UTF-8 is read as U+FFFD. An empty table gives
+    no rows; other columns stay inside ``__row``, whatever their names.
     """
     domains = [domain_rule(*r) for r in domain_rules]
     patterns = [pattern_rule(*r) for r in pattern_rules]
@@ -164,7 +166,7 @@ def judge_urls(
         names = ("host", "path", "rule", "verdict", "pattern")
         out: dict[str, list] = {k: [] for k in names}
         for url in texts_of(batch):
-            host, path = split_url(None if url is None else url.decode())
+            host, path = split_url(decoded(url))
             domain = indexes[0].best(host + path)
             pattern = indexes[1].best(host + path) if domain is None else None
             decided = domain or pattern

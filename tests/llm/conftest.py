@@ -50,3 +50,14 @@ ODD = [
     (5, "the same row twice, word by word, for ties", None, "src2"),
     (6, "1234 5678 !!! ***", "de", ""),
 ]
+
+#: Bytes that are no UTF-8: a lone byte, a cut character, a character that a space breaks.
+MALFORMED = [b"good \xff words here", b"cut \xe3\x81", b"\xc3 \xa9 \xe9t\xe9", b"\xff\xfe", b"x\x80\ny\x80\n"]
+
+
+def as_strings(spark, rows, schema, *names):
+    """Rows with bytes in the columns ``names``, which become strings as they are."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, schema)
+    return df.select(*[F.col(c).cast("string").alias(c) if c in names else c for c in df.columns])

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from percepta.llm import chat
+from tests.llm.conftest import MALFORMED, as_strings
 
 SCHEMA = "conv_id long, turn long, role string, text string, pack string, path string"
 PIECES = ["<", "|", ">", "\\", "s>", "/s>", "[", "INST]", "/INST]", "<SYS>>", "</SYS>>", "\n", "a", "é", "<|", "|>\n", "</s>"]
@@ -128,3 +129,11 @@ def test_probe_and_empty_table(spark):
     out = chat.chat_report(spark, frame(spark, [])).collect()
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in out] == [(-7, 2, len(chat.PROBE))]
     assert out[0].loss_sha256 == hashlib.sha256(chat.PROBE.encode()).hexdigest()
+
+
+def test_malformed_bytes_are_replacement_characters(spark):
+    rows = [(k % 2, k, b"user\xff" if k % 3 else b"assistant", t) for k, t in enumerate(MALFORMED * 2)]
+    turns = as_strings(spark, rows, "conv_id long, turn long, role binary, text binary", "role", "text")
+    read = lambda b: b.decode("utf-8", "replace")
+    out = chat.read_packs(chat.pack_conversations(turns)).drop("pack").collect()
+    assert sorted((str(r.conv_id), *r[1:]) for r in out) == digest([(c, k, read(r), read(t)) for c, k, r, t in rows])

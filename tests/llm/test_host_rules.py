@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from percepta.llm import host_rules
-from tests.llm.conftest import ODD
+from tests.llm.conftest import MALFORMED, ODD, as_strings
 
 
 def brute(text):
@@ -84,3 +84,18 @@ def test_degenerate_hosts(spark, rows):
 
 def test_empty_table(documents):
     assert host_rules.host_quality(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("text", MALFORMED)
+def test_malformed_bytes_count_as_replacement_characters(text):
+    assert host_rules.measure(text) == brute(text.decode("utf-8", "replace"))
+
+
+def test_malformed_rows(spark):
+    rows = [(k, t, b"host\xff") for k, t in enumerate(MALFORMED)]
+    docs = as_strings(spark, rows, "doc_id long, text binary, source binary", "text", "source")
+    out = {r.doc_id: r for r in host_rules.host_quality(docs).collect()}
+    for k, text in enumerate(MALFORMED):
+        r = out[k]
+        n, chars, symbols, _, dup, again = brute(text.decode("utf-8", "replace"))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dup, again)

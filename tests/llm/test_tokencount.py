@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from percepta.llm import tokencount
-from tests.llm.conftest import ODD
+from tests.llm.conftest import MALFORMED, ODD, as_strings
 
 tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -75,3 +75,11 @@ def test_operator(library, clash):
 
 def test_empty_table(documents):
     assert tokencount.token_report(documents([])).collect() == []
+
+
+def test_malformed_bytes_equal_the_library(spark, library):
+    docs = as_strings(spark, list(enumerate(MALFORMED)), "doc_id long, text binary", "text")
+    out = {r.doc_id: (r.n_bytes, r.n_tokens) for r in tokencount.token_report(docs).collect()}
+    assert out == {
+        k: (len(t), len(library.encode(t.decode("utf-8", "replace")))) for k, t in enumerate(MALFORMED)
+    }

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from percepta.llm import urlfilter
 from percepta.llm.urlfilter import DOMAIN_RULES, PATTERN_RULES
+from tests.llm.conftest import as_strings
 
 
 def brute(url):
@@ -78,3 +79,13 @@ def test_rules_without_whole_tokens_and_with_runs():
 def test_rule_without_path_fits_subdomains():
     index = urlfilter.RuleIndex([urlfilter.domain_rule("block", "spam.com")], {})
     assert index.best("spam.com") and index.best("a.spam.com/x") and not index.best("spam.community/")
+
+
+def test_malformed_bytes_and_clashing_columns(spark):
+    urls = [b"http://a\xff.net/x\xe3\x81", b"http://x.com/\xff/casino/", b"\xff", b"http://\xc3 \xa9/"]
+    schema = "page_id long, url binary, __row string, host string, path string, rule string, __text string"
+    pages = as_strings(spark, [(k, u, *["clash"] * 5) for k, u in enumerate(urls)], schema, "url")
+    out = urlfilter.judge_urls(pages).collect()
+    got = {r["__row"].page_id: (r.host, r.path, r.rule, r.verdict) for r in out}
+    assert got == {k: brute(u.decode("utf-8", "replace")) for k, u in enumerate(urls)}
+    assert all(r["__row"].host == "clash" for r in out)
