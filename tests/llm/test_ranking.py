@@ -66,17 +66,39 @@ def test_scores_do_not_depend_on_ids_or_sources(spark, documents):
     assert a == pytest.approx(sorted(r.score for r in ranking.score_documents(other, ranker).collect()))
 
 
-def test_weights_solve_the_pairwise_problem(spark, documents):
+def test_weights_solve_the_pairwise_problem(spark, documents, monkeypatch):
     """At the optimum the gradient of the regularized pairwise loss vanishes."""
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df.cache()
+        return kept[name]
+
     rows, labels = table(3, 300)
+    # A tenth of the labels are wrong, so that no weights meet all preferences.
+    labels = [(d, 1 - y if d % 10 == 1 else y, z) for d, y, z in labels]
     docs, marks = documents(rows), spark.createDataFrame(labels, LABELS)
+    monkeypatch.setattr(ranking, "materialize", keep)
     ranker = ranking.fit_ranker(docs, marks)
+    pairs = kept["pairs"].collect()
+    x = np.array([r.features.toArray() for r in pairs])
+    y = np.array([r.label for r in pairs])
+    count = sum(q for _, q, _ in labels)
+    assert len(pairs) == ranking.PAIRS * max(count, len(labels) - count)
+
+    def gradient(w):
+        return x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(y) + ranking.STRENGTH * w
+
+    at_start = np.linalg.norm(gradient(np.zeros(x.shape[1])))
+    assert at_start > 0.1 and np.linalg.norm(gradient(ranker.weights)) < 0.005 * at_start
+
+
+def test_preferences_hold_for_nearly_all_pairs(spark, documents):
+    rows, labels = table(3, 300)
+    ranker = ranking.fit_ranker(documents(rows), spark.createDataFrame(labels, LABELS))
     truth = {d: y for d, y, _ in labels}
-    x = {d: np.clip((np.array(ranking.features(t.encode())) - ranker.mean) / ranker.scale, -8, 8) for d, t in rows if d in truth}
-    pos = [x[d] for d in x if truth[d]]
-    neg = [x[d] for d in x if not truth[d]]
-    # Preferences hold for nearly all pairs, not only those that were drawn.
-    margin = np.array(pos) @ ranker.weights[:, None] - (np.array(neg) @ ranker.weights[:, None]).T
+    raw = {d: ranker.raw(np.array(ranking.features(t.encode()))) for d, t in rows if d in truth}
+    margin = np.subtract.outer([raw[d] for d in raw if truth[d]], [raw[d] for d in raw if not truth[d]])
     assert (margin > 0).mean() > 0.99
 
 
