@@ -185,17 +185,29 @@ x AS (
 rules(rule, verdict, h, p) AS (VALUES
   ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
   ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')),
-words(word) AS (VALUES
-  ('adult'), ('ads'), ('bets'), ('casino'), ('pills'), ('poker'), ('porn'), ('spam'), ('viagra'), ('xxx')),
+words(word, i) AS (VALUES
+  ('adult', 0), ('ads', 1), ('bets', 2), ('casino', 3), ('pills', 4), ('poker', 5), ('porn', 6), ('spam', 7), ('viagra', 8),
+  ('xxx', 9)),
+helps(near, j) AS (VALUES
+  ('addiction', 0), ('awareness', 1), ('filter', 2), ('help', 3), ('prevention', 4), ('support', 5)),
+lures(lure, i) AS (VALUES ('cheap', 0), ('earn', 1), ('fast', 2), ('free', 3), ('hot', 4), ('online', 5), ('win', 6)),
+goods(good, j) AS (VALUES ('cash', 0), ('gift', 1), ('loans', 2), ('meds', 3), ('money', 4), ('prize', 5), ('singles', 6)),
+shapes(says, place, pattern, inside) AS (
+  SELECT 'block', i, '^' || word || '^', word FROM words
+  UNION ALL SELECT 'allow', 100 + 10 * i + j, '^' || word || '^' || near || '^', word || '[^A-Za-z0-9]' || near
+  FROM words, helps
+  UNION ALL SELECT 'block', 1000 + 20 * i + 2 * j, '^' || lure || '^' || good || '^', lure || '[^A-Za-z0-9]' || good
+  FROM lures, goods
+  UNION ALL SELECT 'block', 1001 + 20 * i + 2 * j, '^' || lure || '^*^' || good || '^',
+    lure || '[^A-Za-z0-9].*[^A-Za-z0-9]' || good FROM lures, goods),
 fit AS (
   SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
   FROM x, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
 pat AS (
-  SELECT page_id, max_by('^' || word || '^', length(word) * 1000 - rowid) AS pattern FROM x,
-    (SELECT word, row_number() OVER () AS rowid FROM words)
-  WHERE regexp_matches(host || path, '(^|[^A-Za-z0-9])' || word || '([^A-Za-z0-9]|$)') GROUP BY page_id)
-SELECT x.page_id, host, path, fit.rule AS rule,
-  coalesce(fit.verdict, CASE WHEN pat.pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+  SELECT page_id, max_by(pattern, length(pattern) * 10000 - place) AS pattern, max_by(says, length(pattern) * 10000 - place) AS says
+  FROM x, shapes
+  WHERE regexp_matches(host || path, '(?s)(^|[^A-Za-z0-9])' || inside || '([^A-Za-z0-9]|$)') GROUP BY page_id)
+SELECT x.page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, pat.says, 'allow') AS verdict,
   CASE WHEN fit.rule IS NULL THEN pat.pattern END AS pattern
 FROM x LEFT JOIN fit USING (page_id) LEFT JOIN pat USING (page_id)
 """

@@ -41,10 +41,17 @@ DOMAIN_RULES = (
     (ALLOW, "org/fr/"),
 )
 
-#: Words that name unwanted sites when they stand alone in a host or path.
-PATTERN_RULES = tuple(
-    (BLOCK, f"^{word}^")
-    for word in "adult ads bets casino pills poker porn spam viagra xxx".split()
+#: Words that name unwanted sites when they stand alone in a host or path ...
+WORDS = "adult ads bets casino pills poker porn spam viagra xxx".split()
+#: ... but not next to one of these, ...
+HELP = "addiction awareness filter help prevention support".split()
+#: and pairs of words that do so only together, the second anywhere behind the first.
+LURES = "cheap earn fast free hot online win".split()
+GOODS = "cash gift loans meds money prize singles".split()
+PATTERN_RULES = (
+    *((BLOCK, f"^{word}^") for word in WORDS),
+    *((ALLOW, f"^{word}^{near}^") for word in WORDS for near in HELP),
+    *((BLOCK, f"^{lure}^{between}{good}^") for lure in LURES for good in GOODS for between in ("", "*^")),
 )
 
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -114,11 +121,16 @@ class RuleIndex:
             else:
                 self.always.append(entry)
 
+    def candidates(self, place: str) -> list[tuple]:
+        """The rules whose regular expressions run on ``place``."""
+        found = list(self.always)
+        for token in tokens_of(place):
+            found += self.by_token.get(token, ())
+        return found
+
     def best(self, place: str) -> Rule | None:
         """The longest rule that fits ``place`` (host + path); the first among equals."""
-        found = [e for e in self.always if e[3].match(place)]
-        for token in tokens_of(place):
-            found += [e for e in self.by_token.get(token, ()) if e[3].match(place)]
+        found = [e for e in self.candidates(place) if e[3].match(place)]
         return max(found, key=lambda e: e[:2])[2] if found else None
 
 

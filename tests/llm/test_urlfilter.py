@@ -24,10 +24,12 @@ def brute(url):
             fits.append((len(rule), rule, verdict))
     if fits:
         return host, path, max(fits)[1], max(fits)[2]
-    for _, pattern in PATTERN_RULES:
-        if re.search(f"(?<![A-Za-z0-9]){pattern.strip('^')}(?![A-Za-z0-9])", host + path):
-            return host, path, None, "block"
-    return host, path, None, "allow"
+    found = []
+    for k, (verdict, pattern) in enumerate(PATTERN_RULES):
+        inside = pattern.strip("^").replace("^", "[^A-Za-z0-9]").replace("*", ".*")
+        if re.search(f"(?s)(?<![A-Za-z0-9]){inside}(?![A-Za-z0-9])", host + path):
+            found.append((len(pattern), -k, verdict))
+    return host, path, None, max(found)[2] if found else "allow"
 
 
 URLS = [
@@ -35,7 +37,9 @@ URLS = [
     "https://example.com/de/", "http://xexample.com/de/", "http://a.org/fr/x#y", "http://a.org?x/fr/", "http://org/fr",
     "http://x.com/fr/casino/", "http://casino-win.example.com/", "http://mycasino.com/", "ftp://ADS.x.com/a",
     "http://x.com/CASINO/", "http://a//b://c/net/", "http://x.net:80/", "http://é.net/ü", "http://poker", "a://b.net\n/x/",
-    "http://x.com/" + "a/" * 20_000 + "spam",
+    "http://x.com/" + "a/" * 20_000 + "spam", "http://x.com/free-money", "http://free.x.com/money/", "http://x.com/freemoney",
+    "http://x.com/spam-filter/", "http://x.com/filter-spam/", "http://x.com/casino/casino-help?x", "http://free.x.com/a\nb/cash",
+    "http://win.com/spam-support/prize", "http://x.com/free--gift", "http://free-gift.com/hot/prize/online/cash", "http://money.free.com",
 ]
 
 
@@ -54,7 +58,7 @@ def test_empty_table(spark):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from("net org example com . / en fr de casino A ? ://".split()), max_size=12).map("".join))
+@given(st.lists(st.sampled_from("net org example com . / en fr de casino help free cash A ? - ://".split()), max_size=14).map("".join))
 def test_index_equals_brute_force(url):
     domains = urlfilter.RuleIndex([urlfilter.domain_rule(*r) for r in DOMAIN_RULES], {})
     patterns = urlfilter.RuleIndex([urlfilter.pattern_rule(*r) for r in PATTERN_RULES], {})
@@ -89,3 +93,35 @@ def test_malformed_bytes_and_clashing_columns(spark):
     got = {r["__row"].page_id: (r.host, r.path, r.rule, r.verdict) for r in out}
     assert got == {k: brute(u.decode("utf-8", "replace")) for k, u in enumerate(urls)}
     assert all(r["__row"].host == "clash" for r in out)
+
+
+def test_only_rules_of_the_rarest_token_run(spark):
+    """A common token fetches no rule that holds a rarer one."""
+    rules = [urlfilter.pattern_rule(*r) for r in PATTERN_RULES]
+    urls = [f"http://free{k}.free.com/win/hot/page" for k in range(300)] + ["http://free.com/x/money", "http://a.com/ads"]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    tokens = {t for r in rules for t in r.tokens}
+    counts = urlfilter.token_counts(pages.selectExpr("CAST(url AS binary) AS __text"), tokens)
+    assert counts == {"free": 301, "win": 300, "hot": 300, "money": 1, "ads": 1}
+    index = urlfilter.RuleIndex(rules, counts)
+    runs = {u: len(index.candidates("".join(urlfilter.split_url(u)))) for u in urls}
+    # Rules with money are filed there, but for those with a lure that no url holds.
+    assert runs.pop("http://free.com/x/money") == 2 * 3
+    assert runs.pop("http://a.com/ads") == 1
+    assert set(runs.values()) == {0}
+    assert index.best("free.com/x/money").text == "^free^*^money^"
+    # Every rule is filed once, under a token of its own.
+    filed = [(t, e[2]) for t, entries in index.by_token.items() for e in entries]
+    assert len(filed) == len(rules) and not index.always and all(t in r.tokens for t, r in filed)
+
+
+def test_sql_on_odd_urls():
+    import duckdb
+
+    from percepta.llm.queries import ORACLE_SQL
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(URLS)))
+    got = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({ORACLE_SQL['op5_url_rules']}) ORDER BY 1").fetchall()
+    assert [tuple(r[1:]) for r in got] == [brute(u) for u in URLS]
