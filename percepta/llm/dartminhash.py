@@ -424,6 +424,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its id); ``is_first`` marks one row of each class, the one of least id
     (null last); rows equal in id and text are told apart only by it, where
     the first of them is arbitrary but one. An empty table gives no rows.
+    Very long texts are compared whole; other columns are ignored, whatever
+    their names.
     """
     classes = materialize(near_classes(docs, text_col), "near")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_key(text_col).alias("tkey"))

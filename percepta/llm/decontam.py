@@ -189,7 +189,9 @@ def find_contamination(
 
     Null and empty texts have no words and no hits; items without words test
     nothing; a null item id is the id ``null``; items that repeat count
-    once; repeated documents are judged each; an empty benchmark hits nothing.
+    once; repeated documents are judged each; an empty benchmark hits nothing; an
+    empty table gives no rows. Very long texts are searched whole; other columns
+    stay inside ``__row``, whatever their names.
     """
     # Distinct first: equal rows would share a block, whatever its bytes. The block of an item
     # depends on its text and the total, which grows with the benchmark alone.

@@ -125,6 +125,7 @@ def mix(
     texts have size 0 and give nothing; documents with a null source are one
     source, the last; rows equal in id and text are told apart by nothing,
     and which of them is taken is of no account; an empty table gives no rows.
+    Very long texts count whole; other columns are ignored, whatever their names.
     Reruns agree: the order is a hash of seed, id and text.
     """
     text, doc = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")

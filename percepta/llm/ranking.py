@@ -174,7 +174,9 @@ def fit_ranker(
 def score_documents(docs: DataFrame, ranker: Ranker, text_col: str = "text") -> DataFrame:
     """``__row``, score and predicted (1 if score >= 0.5) of every document.
 
-    Null and empty texts are scored as texts without words.
+    Null and empty texts are scored as texts without words, equal texts equally;
+    very long texts are measured whole; an empty table gives no rows; other columns
+    stay inside ``__row``, whatever their names.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(ranker)
 

@@ -137,3 +137,12 @@ def test_malformed_bytes_are_replacement_characters(spark):
     read = lambda b: b.decode("utf-8", "replace")
     out = chat.read_packs(chat.pack_conversations(turns)).drop("pack").collect()
     assert sorted((str(r.conv_id), *r[1:]) for r in out) == digest([(c, k, read(r), read(t)) for c, k, r, t in rows])
+
+
+def test_hot_conversation_and_hot_null_id(spark):
+    """One id, and the null id, hold most of all rows."""
+    rows = [(1, k, "user" if k % 2 else "assistant", f"turn {k}") for k in range(8000)]
+    rows += [(None, k, "assistant", f"turn {k}") for k in range(8000)] + [(k, 0, "user", "x") for k in range(2, 40)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.read_packs(chat.pack_conversations(turns)).drop("pack").collect()
+    assert sorted((str(r.conv_id), *r[1:]) for r in out) == digest(rows)

@@ -134,3 +134,13 @@ def test_as_text_drops_cut_characters(documents):
 
 def test_empty_table(documents):
     assert run(documents([])) == []
+
+
+def test_very_long_texts_are_cut_whole(documents):
+    long = " ".join(str(k * k) for k in range(60_000))
+    rows = [(1, long + "end"), (2, "start " + long[-5000:]), (3, long[200_000:200_500])]
+    assert run(documents(rows)) == [
+        ("1", len(long) + 3, 5500, 2, hashlib.sha256((long[:200_000] + long[200_500:-5000] + "end").encode()).hexdigest()),
+        ("2", 5006, 5000, 1, hashlib.sha256(b"start ").hexdigest()),
+        ("3", 500, 500, 1, hashlib.sha256(b"").hexdigest()),
+    ]
