@@ -1,17 +1,20 @@
 """Near-duplicate detection with DartMinHash signatures.
 
-A text is the set of its runs of ``SHINGLE`` words (``common.plain_words``; a
-shorter text is one run). Signatures: darts fall at random, but fixed by the
+A text is its runs of ``SHINGLE`` words (``common.plain_words``; a shorter
+text is one run), each as heavy as it is frequent in the text (or, with
+``weighted=False``, of weight 1). Signatures: darts fall at random, but fixed by the
 element's hash, on the plane of weight and rank above each element, one for a
 unit of area on average. The darts below the element's weight and a rank
 limit hit; each hit names one of ``COORDINATES`` coordinates, and the
 coordinate keeps the hit of least rank. The limit is set so that all
 coordinates are hit almost surely (about k log k darts for any text size), and
 doubled for texts that miss one. Two texts agree in a coordinate with the
-probability of their weighted Jaccard similarity (set similarity for the
-weights of 1 used here).
+probability of their weighted Jaccard similarity: the sum of the lesser
+weights by the sum of the greater ones.
 
-Links are found by bands of the signature and decided on the shingle sets:
+Links are found by bands of the signature and decided on the shingles
+themselves, the n-th occurrence of a run being an element of its own, so that
+the weighted similarity is that of sets:
 
 1. exact copies (equal text) become one text;
 2. bands shared by two texts or more: each text is compared with the least
@@ -34,7 +37,7 @@ the group for each block of those few.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from math import exp, log
 
 import numpy as np
@@ -67,6 +70,8 @@ BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 256 << 10
 #: Rank bands: [0, 2^LOWEST), [2^LOWEST, 2^(LOWEST+1)), ...
 LOWEST = -6
+#: Greatest area of a part of the plane whose darts one hash draws.
+CELL_AREA = 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _WORDS: dict[bytes, int] = {}
@@ -95,11 +100,11 @@ def _poisson(u: np.ndarray, mean: float) -> np.ndarray:
     return np.searchsorted(np.array(steps), u, side="right")
 
 
-def shingle_hashes(text: bytes | None, n: int = SHINGLE) -> np.ndarray:
-    """The distinct 64-bit hashes of a text's word runs, sorted; none without words."""
+def shingle_counts(text: bytes | None, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct 64-bit hashes of a text's word runs, sorted, and how often each occurs; none without words."""
     words = plain_words(text)
     if not words:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     if len(_WORDS) > 300_000:
         _WORDS.clear()
     hashed = []
@@ -114,42 +119,58 @@ def shingle_hashes(text: bytes | None, n: int = SHINGLE) -> np.ndarray:
     key = np.full(count, size, dtype=np.uint64)
     for j in range(size):
         key = _mix(key * _GOLD + ids[j : j + count])
-    return np.unique(key)
+    return np.unique(key, return_counts=True)
+
+
+def occurrences(element: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash for each occurrence of each element; the first one's is the element."""
+    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    base = np.repeat(element, count)
+    later = nth > 0
+    base[later] = _mix(base[later] + nth[later].astype(np.uint64) * _GOLD)
+    return base
 
 
 def _darts(element: np.ndarray, weight: np.ndarray, owner: np.ndarray, limit: np.ndarray):
     """(owner, rank, id) of the darts below weight and rank limit.
 
     ``limit`` is by owner. Cells of the plane are dyadic in weight ([0, 1),
-    [1, 2), [2, 4), ...) and in rank; a cell's number of darts is Poisson of
-    its area, drawn from a hash of the element and cell.
+    [1, 2), [2, 4), ...) and in rank, large ones cut into parts of area
+    ``CELL_AREA`` by rank; a part's number of darts is Poisson of its area,
+    drawn from a hash of the element and part.
     """
     owners, ranks, names = [], [], []
     top_rank = float(limit.max())
     level, low, high = 0, 0.0, 1.0
     while low < weight.max():
         of = np.flatnonzero(weight > low)
-        cell, bottom, top = LOWEST, 0.0, 2.0**LOWEST
-        while bottom < top_rank:
-            at = of[limit[owner[of]] > bottom]
-            seed = _mix(
-                element[at] ^ (np.array([level + 1], np.uint64) * _GOLD) ^ (np.array([cell - LOWEST + 1], np.uint64) * _M1)
-            )
-            count = _poisson(_unit(seed), (high - low) * (top - bottom))
-            hit = np.flatnonzero(count)
-            if len(hit):
+        cell, start, end = LOWEST, 0.0, 2.0**LOWEST
+        while start < top_rank:
+            parts = max(1, int((high - low) * (end - start) / CELL_AREA))
+            step = (end - start) / parts
+            for part in range(parts):
+                bottom = start + part * step
+                at = of[limit[owner[of]] > bottom]
+                if not len(at):
+                    break
+                place = np.array([level + 1, cell - LOWEST + 1, part], np.uint64) * np.array([_GOLD, _M1, _M2])
+                seed = _mix(element[at] ^ place[0] ^ place[1] ^ place[2])
+                count = _poisson(_unit(seed), (high - low) * step)
+                hit = np.flatnonzero(count)
+                if not len(hit):
+                    continue
                 many = count[hit]
                 base = np.repeat(seed[hit], many)
                 which = np.arange(len(base)) - np.repeat(np.cumsum(many) - many, many)
                 name = _mix(base + (which.astype(np.uint64) + np.uint64(1)) * _GOLD)
-                rank = bottom + (top - bottom) * _unit(_mix(name ^ _M2))
+                rank = bottom + step * _unit(_mix(name ^ _M2))
                 height = low + (high - low) * _unit(_mix(name ^ _M1))
                 source = np.repeat(at[hit], many)
                 keep = (height < weight[source]) & (rank < limit[owner[source]])
                 owners.append(owner[source][keep])
                 ranks.append(rank[keep])
                 names.append(name[keep])
-            cell, bottom, top = cell + 1, top, top * 2
+            cell, start, end = cell + 1, end, end * 2
         level, low, high = level + 1, high, high * 2
     if not owners:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.uint64)
@@ -157,7 +178,7 @@ def _darts(element: np.ndarray, weight: np.ndarray, owner: np.ndarray, limit: np
 
 
 def signatures(
-    sets: list[np.ndarray], weights: list[np.ndarray] | None = None, k: int = COORDINATES
+    sets: Sequence[np.ndarray], weights: list[np.ndarray] | None = None, k: int = COORDINATES
 ) -> np.ndarray:
     """A row of ``k`` 64-bit values for each set of element hashes (zeros for an empty set)."""
     out = np.zeros((len(sets), k), dtype=np.uint64)
@@ -192,26 +213,30 @@ def band_hashes(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def text_bands(texts: DataFrame) -> DataFrame:
+def text_bands(texts: DataFrame, weighted: bool = True) -> DataFrame:
     """(tkey, bands) of rows (tkey, ``__text``); texts without words have no bands."""
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         found: list[list[int]] = []
         for part in small(batch, SLICE_BYTES):
-            sets = [shingle_hashes(t) for t in texts_of(part)]
-            bands = band_hashes(signatures(sets))
+            sets, counts = zip(*map(shingle_counts, texts_of(part)), strict=True)
+            weights = [c.astype(float) for c in counts] if weighted else None
+            bands = band_hashes(signatures(sets, weights))
             found += [b.tolist() if len(s) else [] for s, b in zip(sets, bands, strict=True)]
         return {"bands": pa.array(found, pa.list_(pa.int64()))}
 
     return add_columns(texts, compute, [field("bands", T.ArrayType(T.LongType()))], keep=("tkey",))
 
 
-def _shingles(texts: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """Add the low 32 bits of the shingle hashes, sorted, as binary."""
+def _shingles(texts: DataFrame, keep: tuple[str, ...], weighted: bool = True) -> DataFrame:
+    """Add the low 32 bits of the hashes of shingles (``weighted``: of their occurrences), sorted, as binary."""
+
+    def of(text: bytes | None) -> bytes:
+        element, count = shingle_counts(text)
+        return np.unique((occurrences(element, count) if weighted else element).astype("<u4")).tobytes()
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        sets = [np.unique(shingle_hashes(t).astype("<u4")).tobytes() for t in texts_of(batch)]
-        return {"shingles": pa.array(sets, pa.binary())}
+        return {"shingles": pa.array([of(t) for t in texts_of(batch)], pa.binary())}
 
     return add_columns(texts, compute, [field("shingles", T.BinaryType())], keep=keep)
 
@@ -377,14 +402,17 @@ def residual_cells(known: DataFrame, most: int, most_bytes: int) -> DataFrame:
     )
 
 
-def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """(tkey, uid, class_uid) of each distinct text that is not null; a class has one class_uid.
+def text_links(
+    docs: DataFrame, text_col: str = "text", least: float = SIMILARITY, weighted: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(tkey, uid) of each distinct text that is not null, and links (a, b) between uids.
 
-    Texts without words are in a class only with their exact copies.
+    Each link is a pair of similar texts; together they join all that
+    similar pairs join. Texts without words have no links.
     """
     rows = docs.select(text_key(text_col).alias("tkey"), F.col(f"`{text_col}`").cast("binary").alias(TEXT))
     rows = rows.where(F.col(TEXT).isNotNull())
-    texts = text_bands(rows).groupBy("tkey").agg(F.first("bands").alias("bands"))
+    texts = text_bands(rows, weighted).groupBy("tkey").agg(F.first("bands").alias("bands"))
     texts = materialize(texts.withColumn("uid", F.monotonically_increasing_id()), "bands")
     banded = texts.select("uid", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("uid").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -393,7 +421,7 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
     members = materialize(banded.join(shared, "band"), "members")
     needed = texts.select("tkey", "uid").join(members.select("uid").distinct(), "uid")
     once = rows.groupBy("tkey").agg(F.first(TEXT).alias(TEXT))
-    sets = _shingles(once.join(needed, "tkey"), keep=("uid",))
+    sets = _shingles(once.join(needed, "tkey"), keep=("uid",), weighted=weighted)
     sets = materialize(sets.withColumn("bytes", F.length("shingles")), "shingles")
     pairs = members.where("uid <> first").select(F.col("first").alias("b"), F.col("uid").alias("a")).distinct()
     links = materialize(verified(pairs, sets, least), "links")
@@ -410,24 +438,57 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
         .mapInArrow(_residual(least), "a long, b long")
     )
     more = materialize(more.distinct(), "more")
-    comp = materialize(components(links.union(more), "all"), "classes")
-    return texts.select("tkey", "uid").join(comp, "uid", "left").select(
-        "tkey", "uid", F.coalesce("comp", "uid").alias("class_uid")
+    return texts.select("tkey", "uid"), links.union(more)
+
+
+def near_classes(
+    docs: DataFrame, text_col: str = "text", least: float = SIMILARITY, weighted: bool = True
+) -> DataFrame:
+    """(tkey, uid, class_uid) of each distinct text that is not null; a class has one class_uid.
+
+    Texts without words are in a class only with their exact copies.
+    """
+    texts, links = text_links(docs, text_col, least, weighted)
+    comp = materialize(components(links, "all"), "classes")
+    return texts.join(comp, "uid", "left").select("tkey", "uid", F.coalesce("comp", "uid").alias("class_uid"))
+
+
+def near_links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, weighted: bool = True
+) -> DataFrame:
+    """a, b: links between different texts, each named by the least id that has it (null if no other).
+
+    a <= b. Every row is a pair of similar texts, and the rows connect each class of
+    ``near_duplicates`` with as many or more links than a tree needs; pairs
+    within a class are not all listed, exact copies and null texts not at
+    all. An empty table gives no rows.
+    """
+    texts, links = text_links(docs, text_col, least, weighted)
+    ids = docs.select(F.col(f"`{id_col}`").alias("id"), text_key(text_col).alias("tkey"))
+    names = materialize(ids.groupBy("tkey").agg(F.min("id").alias("id")).join(texts, "tkey").select("uid", "id"), "names")
+    named = links.join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b")
+    none = F.col("x").isNull() | F.col("y").isNull()
+    return named.select(
+        F.when(none, F.coalesce("x", "y")).otherwise(F.least("x", "y")).alias("a"),
+        F.when(~none, F.greatest("x", "y")).alias("b"),
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weighted: bool = True
+) -> DataFrame:
     """id, class_id, class_size, is_first of every row; class_id: the class's least id.
 
     Classes are the connected components of the similarity links of 0.8 or
-    more (and equal texts). A null text is in a class of its own (class_id is
+    more (and equal texts); similarity weighs each run of words by its number
+    in the text, or by 1 (``weighted=False``). A null text is in a class of its own (class_id is
     its id); ``is_first`` marks one row of each class, the one of least id
     (null last); rows equal in id and text are told apart only by it, where
     the first of them is arbitrary but one. An empty table gives no rows.
     Very long texts are compared whole; other columns are ignored, whatever
     their names.
     """
-    classes = materialize(near_classes(docs, text_col), "near")
+    classes = materialize(near_classes(docs, text_col, weighted=weighted), "near")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_key(text_col).alias("tkey"))
     rows = materialize(rows.withColumn("at", F.monotonically_increasing_id()), "rows")
     tagged = rows.join(classes, "tkey", "left")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,13 +11,15 @@ from percepta.llm import dartminhash as dm
 from tests.llm.conftest import ODD
 
 
-def shingles(text):
+def shingles(text, weighted=True):
+    """The runs of five words; weighted: the n-th occurrence of a run is an element of its own."""
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
-    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    runs = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else {}
+    return {(run, j) for run, n in runs.items() for j in range(n if weighted else 1)}
 
 
-def brute_classes(rows):
+def brute_classes(rows, weighted=True):
     """Row number -> class (least row number), by comparing all pairs."""
     parent = list(range(len(rows)))
 
@@ -25,7 +28,7 @@ def brute_classes(rows):
             x = parent[x]
         return x
 
-    sets = [shingles(r[1]) for r in rows]
+    sets = [shingles(r[1], weighted) for r in rows]
     for i in range(len(rows)):
         for j in range(i):
             equal = rows[i][1] is not None and rows[i][1] == rows[j][1]
@@ -58,6 +61,30 @@ def test_agreement_is_the_weighted_similarity():
     assert abs((sig[0] == sig[1]).mean() - true) < 4.5 * (true * (1 - true) / k) ** 0.5
 
 
+def test_agreement_of_heavy_elements():
+    """Weights far apart, whose regions are cut into many parts."""
+    pool = np.arange(1, 7, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = np.array([40_000.0, 3, 1, 700, 1, 1])
+    y = np.array([36_000.0, 3, 2, 900, 1, 5])
+    k = 4096
+    sig = dm.signatures([pool, pool, pool[:1]], [x, y, np.array([2e6])], k=k)
+    true = np.minimum(x, y).sum() / np.maximum(x, y).sum()
+    assert abs((sig[0] == sig[1]).mean() - true) < 4.5 * (true * (1 - true) / k) ** 0.5
+    assert np.array_equal(sig[2], dm.signatures([pool[:1]], [np.array([2e6])], k=k)[0])
+    for area in (1.0, 30.0, 256.0):
+        drawn = dm._poisson(np.random.default_rng(1).random(20_000), area)
+        assert abs(drawn.mean() - area) < 5 * (area / 20_000) ** 0.5
+        assert abs(drawn.var() / area - 1) < 0.06
+
+
+def test_occurrences():
+    element, count = dm.shingle_counts(b"a b c d e a b c d e a b c d e f")
+    assert sorted(count.tolist()) == [1, 2, 2, 2, 2, 3]
+    every = dm.occurrences(element, count)
+    assert len(set(every.tolist())) == 12 and set(element.tolist()) <= set(every.tolist())
+    assert not len(dm.occurrences(*dm.shingle_counts(None)))
+
+
 def test_signature_does_not_depend_on_the_batch():
     rng = np.random.default_rng(8)
     sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 3, 50, 5000, 70_000)]
@@ -113,6 +140,61 @@ def test_classes_equal_all_pairs(clash, corpus):
             assert {r.class_id for r in ids} == {min(r.doc_id for r in ids)}
 
 
+@pytest.fixture(scope="module")
+def repetitive():
+    """Texts of repeated lines, where similarity by weights and by sets differ both ways."""
+    rng = random.Random(31)
+    rows = []
+    for _ in range(10):
+        line = [f"w{rng.randrange(300)}" for _ in range(12)]
+        rest = [f"w{rng.randrange(300)}" for _ in range(60)]
+        for times in (1, 2, 10, 11, 12, 40):
+            rows.append((len(rows), " ".join(line * times + rest)))
+            rows.append((len(rows), vary(rng, line * times + rest, 3)))
+    return rows
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_repeated_lines_equal_all_pairs(documents, repetitive, weighted):
+    want = brute_classes(repetitive, weighted)
+    assert want != brute_classes(repetitive, not weighted)
+    out = dm.near_duplicates(documents(repetitive), weighted=weighted).collect()
+    assert {r.id: r.class_id for r in out} == dict(enumerate(want))
+
+
+def test_links_are_pairs_that_connect_the_classes(clash, corpus):
+    links = [(r.a, r.b) for r in dm.near_links(clash(corpus)).collect()]
+    text = {}
+    for doc_id, t, *_ in corpus:
+        if doc_id is not None:
+            text.setdefault(doc_id, set()).add(t)
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if b is None:
+            continue
+        near = [(x, y) for x in text[a] for y in text[b] if x != y and x is not None and y is not None]
+        sets = [(shingles(x), shingles(y)) for x, y in near]
+        assert any(len(x & y) >= 0.8 * len(x | y) for x, y in sets)
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    made = [row[:2] for row in corpus if row[0] is not None and row[0] >= 1000]
+    least = {}
+    for doc_id, t in made:
+        least[t] = min(doc_id, least.get(t, doc_id))
+    got = {}
+    for doc_id, t in made:
+        got.setdefault(find(least[t]), set()).add(doc_id)
+    want = {}
+    for (doc_id, _), c in zip(made, brute_classes(made), strict=True):
+        want.setdefault(c, set()).add(doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def test_large_group_goes_through_blocks(documents, monkeypatch):
     monkeypatch.setattr(dm, "BLOCK_TEXTS", 8)
     rng = random.Random(6)
@@ -181,4 +263,5 @@ def test_components(spark):
 def test_empty_table(documents):
     assert dm.near_report(documents([])).collect() == []
     assert dm.drop_near_duplicates(documents([])).collect() == []
+    assert dm.near_links(documents([])).collect() == []
     assert dm.components(documents([]).selectExpr("doc_id as a", "doc_id as b")).collect() == []
