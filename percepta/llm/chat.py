@@ -74,7 +74,8 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     """(role, text) of each turn of a formatted conversation."""
     turns, at = [], 0
     while at < len(formatted):
-        close = formatted.index(CLOSE, at)
+        # The role begins behind OPEN: the bar of that and a role's ">\n" are no CLOSE.
+        close = formatted.index(CLOSE, at + len(OPEN))
         end = formatted.index(END, close + len(CLOSE))
         turns.append(
             (unescape(formatted[at + len(OPEN) : close]), unescape(formatted[close + len(CLOSE) : end]))

@@ -27,6 +27,11 @@ def test_turns_round_trip(turns):
     assert chat.read_turns(formatted) == turns
 
 
+def test_role_that_goes_on_from_the_opening_bar_is_read_back():
+    turns = [(">\n", ""), (">\n|", "text"), ("|>\n", "<|>\n"), (">", "</s>"), ("assistant", "ok")]
+    assert chat.read_turns("".join(chat.format_turn(*t)[0] for t in turns)) == turns
+
+
 def digest(rows):
     by_conv: dict = {}
     for row in rows:
