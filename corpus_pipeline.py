@@ -15,11 +15,7 @@ from pyspark.sql import functions as F
 
 from percepta.llm import dartminhash, decontam, mixing, ranking, repeats
 from percepta.llm.common import ROW, importable, materialize
-
-#: A passage that repeats goes if it has so many words ...
-PASSAGE_WORDS = 50
-#: ... and so many bytes: fifty words of two bytes and a space. Anchors are shorter than the query's, as the windows are.
-PASSAGE_BYTES, PASSAGE_GRAM = 150, 32
+from percepta.llm.repeats import PASSAGE_BYTES, PASSAGE_GRAM, PASSAGE_WORDS
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

@@ -144,3 +144,57 @@ def test_very_long_texts_are_cut_whole(documents):
         ("2", 5006, 5000, 1, hashlib.sha256(b"start ").hexdigest()),
         ("3", 500, 500, 1, hashlib.sha256(b"").hexdigest()),
     ]
+
+
+def passages(text, flags):
+    """(number, bytes) of the runs of flagged bytes with 50 words or more."""
+    runs = [[]]
+    for byte, flag in zip(text, flags, strict=True):
+        if flag:
+            runs[-1].append(byte)
+        elif runs[-1]:
+            runs.append([])
+    long = [r for r in runs if len(bytes(r).split()) >= 50]
+    return len(long), sum(map(len, long))
+
+
+def test_passages_equal_brute_force(clash):
+    """Passages of 50 words are found whether they have 400 bytes or not; shorter ones and lone texts are not."""
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"term{rng.randrange(900)}" for _ in range(n))
+    brief, medium, long = text(30), " ".join(f"w{k}" for k in range(52)), text(90)
+    rows = corpus(2) + [(600, text(300)), (601, f"{text(40)} {brief} {text(40)}"), (602, f"{brief} {text(60)}")]
+    rows += [(603 + k, f"{text(90)} {medium} {text(90)}") for k in range(2)]
+    rows += [(605 + k, f"{text(20)} {long} {text(30)}") for k in range(2)]
+    out = repeats.repeat_report(clash(rows)).collect()
+    texts = [(t or "").encode() for _, t, *_ in rows]
+    flags = covered(texts, repeats.PASSAGE_BYTES)
+    want = sorted((str(r[0]), *passages(t, f)) for r, t, f in zip(rows, texts, flags, strict=True))
+    assert sorted((str(r.doc_id), r.n_passages, r.passage_bytes) for r in out) == want
+    assert all(r.has_passage == (r.n_passages > 0) for r in out)
+    by_id = {r.doc_id: r for r in out}
+    assert [by_id[k].has_passage for k in range(600, 607)] == [False] * 3 + [True] * 4
+    assert [by_id[k].n_removed > 400 for k in range(603, 607)] == [False] * 2 + [True] * 2
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out) == brute(rows)
+
+
+def test_sieve_keeps_all_that_share_a_window():
+    """Contexts of one anchor, and those among them that differ near it from all others."""
+    rng = random.Random(5)
+    text = lambda n: bytes(rng.choices(b"abcd", k=n))
+    anchor, rows = text(8), []
+    for _ in range(300):
+        left, right = text(rng.randint(0, 32)), text(rng.randint(0, 32))
+        if len(left) + len(right) < 32:
+            continue
+        if rows and rng.random() < 0.5:  # bytes around the anchor from another context
+            _, _, data, off = rng.choice(rows)
+            near = rng.randint(0, 32)
+            left = left[: max(len(left) - near, 0)] + data[max(off - near, 0) : off]
+            right = data[off + 8 : off + 8 + 32 - near] + right[32 - near :]
+        if len(left) + len(right) >= 32:
+            rows.append((1, len(rows), left + anchor + right, len(left)))
+    spans = repeats.repeated_spans([r[2] for r in rows], 40)
+    near = repeats.sieve(rows, 40, 8)
+    assert len(near) < len(rows) and {r[1] for r, s in zip(rows, spans, strict=True) if s} <= {r[1] for r in near}
+    assert repeats.repeated_spans([r[2] for r in near], 40) == [spans[r[1]] for r in near]
