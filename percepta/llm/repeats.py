@@ -137,17 +137,35 @@ def _first_level(length: int, gram: int):
         for batch in batches:
             for part in small(batch, SLICE_BYTES):
                 texts = [t or b"" for t in texts_of(part)]
-                keys = texts_of(part, "tkey")
                 joined = b"".join(texts)
-                ends = np.cumsum([len(t) for t in texts])
-                places = anchors(np.frombuffer(joined, dtype=np.uint8), ends, length, gram)
+                sizes = np.array([len(t) for t in texts], dtype=np.int64)
+                ends = np.cumsum(sizes)
+                text, a, lo, hi, key = anchors(np.frombuffer(joined, dtype=np.uint8), ends, length, gram)
+                if not len(lo):
+                    continue
                 view = memoryview(joined)
-                begin = (ends - [len(t) for t in texts]).tolist()
-                found: dict[tuple, list[int]] = {}
-                for t, a, lo, hi, key in zip(*(c.tolist() for c in places), strict=True):
-                    ctx = xxhash.xxh3_64_intdigest(view[lo : hi + length], a - lo)
-                    found.setdefault((t, key, ctx, a - lo, hi - lo), []).append(lo - begin[t])
-                yield from _rows([(k, c, keys[t], o, n, v) for (t, k, c, o, n), v in found.items()])
+                places = zip(lo.tolist(), (hi + length).tolist(), (a - lo).tolist(), strict=True)
+                ctx = np.fromiter((xxhash.xxh3_64_intdigest(view[s:e], off) for s, e, off in places), np.uint64, len(lo))
+                order = np.lexsort((lo, ctx, key, text))
+                names = [c[order] for c in (text, key, ctx, a - lo, hi - lo)]
+                first = np.ones(len(order), dtype=bool)
+                first[1:] = np.any([c[1:] != c[:-1] for c in names], axis=0)
+                begin = np.flatnonzero(first)
+                text, key, ctx, off, span = (c[begin] for c in names)
+                los = pa.array(lo[order] - (ends - sizes)[names[0]], pa.int32())
+                rows = pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(_signed(key)),
+                        pa.array(_signed(ctx)),
+                        part.column(part.schema.get_field_index("tkey")).take(pa.array(text)),
+                        pa.array(off, pa.int32()),
+                        pa.array(span, pa.int32()),
+                        pa.ListArray.from_arrays(pa.array(np.append(begin, len(order)), pa.int32()), los),
+                    ],
+                    names=["key", "ctx", "tkey", "off", "span", "los"],
+                )
+                for k in range(0, rows.num_rows, 50_000):
+                    yield rows.slice(k, 50_000)
 
     return run
 
@@ -447,46 +465,66 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _long_runs(length: int):
-    """(tkey, spans) to the runs of ``length`` bytes or more that the spans cover."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tkey, spans) to (tkey, runs): the spans as sorted (s, e) that neither overlap nor touch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        spans = batch.column(batch.schema.get_field_index("spans"))
+        parts = spans.flatten()
+        los = parts.field("los")
+        size = spans.value_lengths().to_numpy(zero_copy_only=False)
+        part = np.repeat(np.arange(len(parts)), los.value_lengths().to_numpy(zero_copy_only=False))
+        # The text in the upper half, the byte in the lower one.
+        zero = (np.repeat(np.arange(batch.num_rows), size)[part] << 32) + los.flatten().to_numpy()
+        start = zero + parts.field("s").to_numpy()[part]
+        order = np.argsort(start)
+        start = start[order]
+        reach = np.maximum.accumulate((zero + parts.field("e").to_numpy()[part])[order])
+        first = np.ones(len(start), dtype=bool)
+        first[1:] = start[1:] > reach[:-1]
+        begin = np.flatnonzero(first)
+        start, end = start[begin], reach[np.append(begin[1:], len(reach)) - 1]
+        offsets = np.searchsorted(start >> 32, np.arange(batch.num_rows + 1))
+        low = [pa.array(v & 0xFFFFFFFF, pa.int32()) for v in (start, end)]
+        runs = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(low, names=["s", "e"]))
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("tkey")), runs], names=["tkey", "runs"])
+
+
+def covered_runs(found: DataFrame) -> DataFrame:
+    """(tkey, runs): what the spans of ``repeated`` cover."""
+    return found.select("tkey", "spans").mapInArrow(_runs, "tkey binary, runs array<struct<s:int,e:int>>")
+
+
+def _pieces(length: int):
+    """The ``runs`` of ``length`` bytes or more as texts (``piece``: the key) that start at ``lo``."""
+    kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
         for batch in batches:
-            every = [
-                (key, [{"s": s, "e": e} for s, e in merged(spans) if e - s >= length])
-                for key, spans in zip(texts_of(batch, "tkey"), texts_of(batch, "spans"), strict=True)
-            ]
-            keys, runs = [k for k, r in every if r], [r for _, r in every if r]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(runs, kind)], names=["tkey", "runs"])
+            for part in small(batch, SLICE_BYTES):
+                rows = [
+                    (tkey, r["s"], hashlib.md5(text[r["s"] : r["e"]]).digest(), text[r["s"] : r["e"]])
+                    for text, tkey, runs in zip(texts_of(part), texts_of(part, "tkey"), texts_of(part, "runs"), strict=True)
+                    for r in runs
+                    if r["e"] - r["s"] >= length
+                ]
+                if rows:
+                    columns = zip(zip(*rows, strict=True), kinds, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns], names=["tkey", "lo", "piece", TEXT])
 
     return run
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ``runs`` of each text as texts (``piece``: the key) that start at ``lo``."""
-    kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary())
-    for batch in batches:
-        for part in small(batch, SLICE_BYTES):
-            rows = [
-                (tkey, r["s"], hashlib.md5(text[r["s"] : r["e"]]).digest(), text[r["s"] : r["e"]])
-                for text, tkey, runs in zip(texts_of(part), texts_of(part, "tkey"), texts_of(part, "runs"), strict=True)
-                for r in runs
-            ]
-            if rows:
-                columns = zip(zip(*rows, strict=True), kinds, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns], names=["tkey", "lo", "piece", TEXT])
-
-
-def repeated_within(texts: DataFrame, brief: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``repeated(texts, length, gram)``, from what it finds for a lesser length (``brief``).
+def repeated_within(texts: DataFrame, runs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``repeated(texts, length, gram)``, from the ``covered_runs`` of a lesser length.
 
     All bytes of a longer repeat are in shorter ones, so it lies in a run that those cover:
     the runs of ``length`` bytes or more are searched as texts of their own.
     """
-    runs = brief.mapInArrow(_long_runs(length), "tkey binary, runs array<struct<s:int,e:int>>")
-    pieces = texts.join(materialize(runs, "runs"), "tkey").select("tkey", TEXT, "runs")
-    pieces = materialize(pieces.mapInArrow(_pieces, f"tkey binary, lo int, piece binary, {TEXT} binary"), "pieces")
+    runs = runs.where(F.exists("runs", lambda r: r["e"] - r["s"] >= length))
+    pieces = texts.join(runs, "tkey").select("tkey", TEXT, "runs")
+    pieces = materialize(pieces.mapInArrow(_pieces(length), f"tkey binary, lo int, piece binary, {TEXT} binary"), "pieces")
     found = repeated(pieces.select(F.col("piece").alias("tkey"), TEXT), length, gram)
     found = pieces.select("tkey", "lo", "piece").distinct().join(found.withColumnRenamed("tkey", "piece"), "piece")
 
@@ -521,24 +559,25 @@ def remove_repeats(
     rows = with_row(docs, text_col, text_key(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("tkey"))
     long = rows.where(F.length(TEXT) >= (PASSAGE_BYTES if passages else length)).select("tkey", TEXT)
     if passages:
-        brief = repeated(long, PASSAGE_BYTES, PASSAGE_GRAM)
-        found = repeated_within(long, brief, length, gram)
-        found = brief.withColumnRenamed("spans", "brief").join(found, "tkey", "left")
+        brief = materialize(covered_runs(repeated(long, PASSAGE_BYTES, PASSAGE_GRAM)), "runs")
+        found = covered_runs(repeated_within(long, brief, length, gram))
+        found = brief.withColumnRenamed("runs", "brief").join(found, "tkey", "left")
     else:
-        found = repeated(long, length, gram).withColumn("brief", F.lit(None).cast("int"))
+        found = covered_runs(repeated(long, length, gram)).withColumn("brief", F.lit(None).cast("int"))
     # The text goes through the shuffle once, inside the row.
     joined = rows.select(ROW, "tkey").join(found, "tkey", "left")
-    joined = joined.select(ROW, F.col(f"{ROW}.`{text_col}`").cast("binary").alias(TEXT), "spans", "brief")
+    joined = joined.select(ROW, F.col(f"{ROW}.`{text_col}`").cast("binary").alias(TEXT), "runs", "brief")
     names = ["n_bytes", "n_removed", "n_spans"] + ["n_passages", "passage_bytes"] * passages
 
-    def cut(text: bytes, spans: list[dict] | None, words: int) -> list[tuple[int, int]]:
-        return [(s, e) for s, e in merged(spans) if not words or len(text[s:e].split()) >= words]
+    def cut(text: bytes, runs: list[dict] | None, words: int) -> list[tuple[int, int]]:
+        found = [(r["s"], r["e"]) for r in runs or ()]
+        return [(s, e) for s, e in found if not words or len(text[s:e].split()) >= words]
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         out: dict[str, list] = {name: [] for name in [*names, "kept"]}
-        for text, spans, brief in zip(texts_of(batch), texts_of(batch, "spans"), texts_of(batch, "brief"), strict=True):
+        for text, runs, brief in zip(texts_of(batch), texts_of(batch, "runs"), texts_of(batch, "brief"), strict=True):
             text = text or b""
-            cuts = cut(text, spans, least_words)
+            cuts = cut(text, runs, least_words)
             kept, at = [], 0
             for s, e in cuts:
                 kept.append(text[at:s])

@@ -198,3 +198,16 @@ def test_sieve_keeps_all_that_share_a_window():
     near = repeats.sieve(rows, 40, 8)
     assert len(near) < len(rows) and {r[1] for r, s in zip(rows, spans, strict=True) if s} <= {r[1] for r in near}
     assert repeats.repeated_spans([r[2] for r in near], 40) == [spans[r[1]] for r in near]
+
+
+def test_runs_are_the_merged_spans():
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    kind = pa.list_(pa.struct([("los", pa.list_(pa.int32())), ("s", pa.int32()), ("e", pa.int32())]))
+    span = lambda s: {"los": rng.choices(range(300), k=rng.randint(1, 3)), "s": s, "e": s + rng.randint(1, 30)}
+    rows = [[span(rng.randrange(20)) for _ in range(rng.randint(1, 6))] for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"k"] * 300), pa.array(rows, kind)], names=["tkey", "spans"])
+    for part, texts in ((batch, rows), (batch.slice(100, 50), rows[100:150])):
+        got = next(repeats._runs(iter([part]))).column(1).to_pylist()
+        assert [[(r["s"], r["e"]) for r in runs] for runs in got] == [repeats.merged(t) for t in texts]
