@@ -446,12 +446,24 @@ def _network(fitted, rows: DataFrame) -> DataFrame:
     return scored.withColumn("own_p", own).withColumn("own", model.predicted_class(F.col("own_p")))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by the hash of the whole row: a small file is one or two tasks, and the formula is slow."""
+    return rows.repartition(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+
+
+def _kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back, so that what is read twice is computed once."""
+    path = shared_dir(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def q_mlp_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit features + MLP on the training part; the held-out part's predictions against formula and labels."""
     train, held_out = _train_validation(spark, sf_dir)
-    scored = _network(fitted_classifier(train), held_out)
+    scored = _network(fitted_classifier(train), _dealt(held_out))
     off = F.array_max(F.zip_with(vector_to_array("probability"), "own_p", lambda a, b: F.abs(a - b)))
-    scored = scored.select("entity_id", "label", "prediction", "own", off.alias("off"))
+    scored = _kept(spark, scored.select("entity_id", "label", "prediction", "own", off.alias("off")), "scored")
     right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     checks = scored.agg(F.coalesce(F.max("off"), F.lit(0.0)).alias("off"), F.coalesce(right, F.lit(0.0)).alias("right"))
     checks = checks.first()

@@ -81,6 +81,22 @@ def test_predictions_of_another_network_turn_the_rows_red(spark, monkeypatch):
         assert not all(r.network_ok for r in QUERIES[name](spark, SF).collect())
 
 
+def test_the_formula_is_computed_once_for_each_held_out_row(spark, monkeypatch):
+    monkeypatch.setattr(D, "MLP_MAX_ITER", 2)
+    seen, true = spark.sparkContext.accumulator(0), catalog._network
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(catalog, "_network", lambda m, rows: true(m, rows.mapInArrow(passed, rows.schema)))
+    for name in ("mlp_train_score",):
+        before = seen.value
+        rows = QUERIES[name](spark, SF).collect()
+        assert rows and seen.value - before == len(rows)
+
+
 def test_driver_contract(spark):
     q = entry_mod.queries()
     o = entry_mod.oracle_sql()
