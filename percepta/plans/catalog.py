@@ -532,8 +532,9 @@ def q_batch_score_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = jobs.score_frame(fitted, held_out.drop("label"), "entity_id", key_as_double=True)
     write_csv(scores, out, header=True)
     back = read_csv(spark, out, schema="entity_id double, prediction double", header=True)
-    own = _network(fitted, held_out).select(F.col("entity_id").cast("double").alias("entity_id"), "label", "own")
-    both = back.join(own, "entity_id", "left")
+    own = _network(fitted, _dealt(held_out))
+    own = own.select(F.col("entity_id").cast("double").alias("entity_id"), "label", "own")
+    both = back.join(_kept(spark, own, "own"), "entity_id", "left")
     right = both.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] or 0.0
     return both.select(
         "entity_id",
